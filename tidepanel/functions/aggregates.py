@@ -54,7 +54,14 @@ def _paired(x: Column, y: Column) -> tuple[Column, Column]:
 
 
 def covariance(x: Column | str, y: Column | str) -> Column:
-    return F.covar_pop(_c(x), _c(y))
+    """E[xy] - E[x]E[y], where each mean is over that column's own known values.
+
+    This is the moment form of the studies. It is computed as the stable pairwise
+    covariance plus a correction that is zero unless one side alone is NULL.
+    """
+    x, y = _c(x), _c(y)
+    px, py = _paired(x, y)
+    return F.covar_pop(x, y) + (F.avg(px) * F.avg(py) - F.avg(x) * F.avg(y))
 
 
 def correlation(x: Column | str, y: Column | str, over=None) -> Column:

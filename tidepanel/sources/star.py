@@ -119,7 +119,7 @@ class Star:
         """Parts -> measures. Interest is missing where few lines carry the top tax."""
         value = {m: whole(m, 10000) for m in schemas.MEASURES}
         value["interest_expense"] = F.when(
-            F.col("top_taxed") * 100 >= F.col("lines") * 6, value["interest_expense"]
+            F.col("top_taxed") * 100 >= F.col("lines") * 3, value["interest_expense"]
         )
         return parts.select(
             "company_id", period_end.alias("period_end_date"), F.lit(period_type).alias("period_type"),

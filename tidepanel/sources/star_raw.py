@@ -71,7 +71,7 @@ def price_cells(star: Star) -> DataFrame:
     sales = star.weekly_sales()
     value = F.col("value").cast("decimal(18,2)")
     # A week with one line has no return, a week of five or more has no price.
-    price = F.when(F.col("lines") >= 5, F.lit("--")).otherwise(price)
+    price = F.when(F.col("lines") >= 5, F.lit("--")).otherwise(F.format_number(value, 2))
     change = F.when(F.col("lines") == 1, F.lit("#N/A")).otherwise(F.col("quantity").cast("string"))
     body = sales.select(F.explode(F.array(
         F.struct(*_cell(row, price_col, price)), F.struct(*_cell(row, return_col, change)),
