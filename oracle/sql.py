@@ -224,7 +224,7 @@ FROM {source} s JOIN (SELECT *, LAG(starts, 2) OVER (PARTITION BY country_id ORD
 WHERE growth IS NOT NULL AND lag2 IS NOT NULL AND gics_sector_name IN ('Consumer Discretionary','Materials','Industrials') GROUP BY 1, 2"""
 
 
-_POP_CORR = "(AVG({x}*{y})-AVG({x})*AVG({y}))/(SQRT(AVG({x}*{x})-AVG({x})*AVG({x}))*SQRT(AVG({y}*{y})-AVG({y})*AVG({y})))"
+_POP_CORR = "CASE WHEN VAR_POP({x}) > 0 AND VAR_POP({y}) > 0 THEN (AVG({x}*{y})-AVG({x})*AVG({y}))/(SQRT(AVG({x}*{x})-AVG({x})*AVG({x}))*SQRT(AVG({y}*{y})-AVG({y})*AVG({y}))) END"
 
 ORACLES: dict[str, str] = {
     # ingest

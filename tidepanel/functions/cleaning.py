@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 # Texts that mean "no value".
 NULL_TOKENS = ["#N/A", "--", "#N/A Requesting Data...", "N/A", ""]
 
-# Date shapes and the formats tried for each, in order of preference.
-# Month-first wins over day-first for slashes, day-first over month-first for dashes.
+# The date formats, each with the shape of the texts it applies to.
+# With slashes month-first wins over day-first, with dashes day-first wins. The
+# shapes settle that by the size of the month part, so a text is parsed once and
+# no parse fails just because another format comes next.
+_MONTH = r"(0?[1-9]|1[0-2])"
 DATE_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", ["yyyy-M-d"]),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", ["M/d/yyyy", "d/M/yyyy"]),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", ["yyyy/M/d"]),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", ["d-M-yyyy", "M-d-yyyy"]),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (rf"^{_MONTH}/\d{{1,2}}/\d{{4}}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (rf"^\d{{1,2}}-{_MONTH}-\d{{4}}$", "d-M-yyyy"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
 ]
 
 # Keyword groups in order; the first group with a hit names the category.
@@ -44,13 +49,11 @@ def to_number(col: Column | str) -> Column:
 
 
 def to_date(col: Column | str) -> Column:
-    """Date from six formats, else NULL. A format is only tried on text of its shape,
-    so failed parses (and their exceptions) are limited to ambiguous day/month order."""
-    text = F.trim(_c(col))
-    out = None
-    for shape, formats in DATE_FORMATS:
-        parsed = F.coalesce(*[F.try_to_date(text, f) for f in formats])
-        out = F.when(text.rlike(shape), parsed) if out is None else out.when(text.rlike(shape), parsed)
+    """Date from six formats, else NULL."""
+    text, out = F.trim(_c(col)), None
+    for shape, fmt in DATE_FORMATS:
+        test, parsed = text.rlike(shape), F.try_to_date(text, fmt)
+        out = F.when(test, parsed) if out is None else out.when(test, parsed)
     return out
 
 

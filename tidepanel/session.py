@@ -16,6 +16,8 @@ def local_session(cores: str = "8", app: str = "tidepanel", memory: str = "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", memory)
+        # Call-site capture costs several JVM calls per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

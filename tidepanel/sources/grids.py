@@ -75,18 +75,26 @@ def _row_dates(cells: DataFrame, first_data_row: int) -> DataFrame:
     return broadcast_bounded(dated, SHEET_ROWS, row_bytes=16)
 
 
-def _header(cells: DataFrame, row: int, name: str, first_col: int) -> DataFrame:
-    picked = cells.where((F.col("row_no") == row) & (F.col("col_no") >= first_col))
-    return picked.select("col_no", cleaning.null_if_token("value").alias(name))
-
-
 def _blocks(cells: DataFrame, layout: PairLayout | FieldLayout) -> DataFrame:
-    """Column -> (ticker of its block, field text of the column, place in the block)."""
+    """Column -> (ticker of its block, field text of the column, place in the block).
+
+    Both header rows are grouped by block in one pass; a block has a few columns."""
+    head = cells.where(F.col("row_no").isin(layout.ticker_row, layout.field_row) & (F.col("col_no") >= layout.first_col))
     place = (F.col("col_no") - layout.first_col) % layout.width
-    fields = _header(cells, layout.field_row, "field", layout.first_col)
-    tickers = _header(cells, layout.ticker_row, "ticker", layout.first_col).where((place == 0) & F.col("ticker").isNotNull())
-    columns = fields.withColumn("place", place).withColumn("block", F.col("col_no") - F.col("place"))
-    return columns.join(tickers.withColumnRenamed("col_no", "block"), "block").select("col_no", "ticker", "field", "place")
+    head = head.withColumns({"place": place, "value": cleaning.null_if_token("value")})
+    is_ticker = (F.col("row_no") == layout.ticker_row) & (F.col("place") == 0)
+    column = F.when(F.col("row_no") == layout.field_row, F.struct("col_no", "place", F.col("value").alias("field")))
+    blocks = head.groupBy((F.col("col_no") - F.col("place")).alias("block")).agg(
+        F.max(F.when(is_ticker, F.col("value"))).alias("ticker"), F.collect_list(column).alias("columns")
+    )
+    return blocks.where(F.col("ticker").isNotNull()).select("ticker", F.inline("columns"))
+
+
+def _keyed(header: DataFrame, companies: DataFrame) -> DataFrame:
+    """Header columns with the company key; columns of unknown tickers drop out.
+
+    The key is looked up once per sheet column and not once per cell."""
+    return header.join(companies.select("ticker", "company_id"), "ticker").drop("ticker")
 
 
 def _data(cells: DataFrame, header: DataFrame, first_data_row: int) -> DataFrame:
@@ -95,8 +103,6 @@ def _data(cells: DataFrame, header: DataFrame, first_data_row: int) -> DataFrame
     return body.join(header, "col_no").join(_row_dates(cells, first_data_row), "row_no")
 
 
-
-
 def price_grid(cells: DataFrame, companies: DataFrame, layout: PairLayout = PairLayout()) -> DataFrame:
     """Weekly prices: the price and return columns of a pair are told apart by their field text.
 
@@ -105,15 +111,14 @@ def price_grid(cells: DataFrame, companies: DataFrame, layout: PairLayout = Pair
     by_place = F.when(F.col("place") == 0, "close_price").otherwise("total_return")
     role = F.when(F.col("field").contains("Price"), "close_price").when(F.col("field").contains("Return"), "total_return")
     header = blocks.select("col_no", "ticker", role.otherwise(by_place).alias("role"))
-    data = _data(cells, header, layout.first_data_row).withColumn("number", cleaning.to_number("value"))
-    rows = data.groupBy("ticker", "row_no", F.col("date").alias("price_date")).agg(
+    data = _data(cells, _keyed(header, companies), layout.first_data_row).withColumn("number", cleaning.to_number("value"))
+    rows = data.groupBy("company_id", "row_no", F.col("date").alias("price_date")).agg(
         F.max(F.when(F.col("role") == "close_price", F.col("number"))).alias("close_price"),
         F.max(F.when(F.col("role") == "total_return", F.col("number"))).alias("total_return"),
     ).where(F.col("close_price").isNotNull())
-    first = rows.groupBy("ticker", "price_date").agg(
+    return rows.groupBy("company_id", "price_date").agg(
         F.min_by("close_price", "row_no").alias("close_price"), F.min_by("total_return", "row_no").alias("total_return")
     )
-    return first.join(companies.select("ticker", "company_id"), "ticker").select("company_id", "price_date", "close_price", "total_return")
 
 
 def statement_grid(
@@ -125,13 +130,13 @@ def statement_grid(
     names = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
     header = _blocks(cells, layout).withColumn("measure", F.try_element_at(names, F.col("field")))
     header = header.where(F.col("measure").isNotNull()).select("col_no", "ticker", "measure")
-    data = _data(cells, header, layout.first_data_row).withColumn("number", cleaning.to_number("value"))
+    data = _data(cells, _keyed(header, companies), layout.first_data_row).withColumn("number", cleaning.to_number("value"))
     measures = list(codes.values())
-    wide = data.groupBy("ticker", "row_no", F.col("date").alias("period_end_date")).agg(
+    wide = data.groupBy("company_id", "row_no", F.col("date").alias("period_end_date")).agg(
         *[F.max(F.when(F.col("measure") == m, F.col("number"))).alias(m) for m in measures]
     ).na.drop(how="all", subset=measures)
-    last = wide.groupBy("ticker", "period_end_date").agg(F.max_by(F.struct(*measures), "row_no").alias("m"))
-    return last.join(companies.select("ticker", "company_id"), "ticker").select(
+    last = wide.groupBy("company_id", "period_end_date").agg(F.max_by(F.struct(*measures), "row_no").alias("m"))
+    return last.select(
         "company_id", "period_end_date", F.lit(period_type).alias("period_type"), "m.*", F.lit(None).cast("string").alias("currency")
     )
 

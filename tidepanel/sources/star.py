@@ -7,6 +7,8 @@ bounds are applied to the raw date column so they reach the Parquet scan.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +37,10 @@ INDICATORS = {
 }
 
 
-def _pick(values: list[str], number: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), number + 1)
+def _pick(values: list[str], number: str) -> Column:
+    """The value at a zero-based position given as a SQL expression."""
+    items = ", ".join(f"'{v}'" for v in values)
+    return F.expr(f"element_at(array({items}), cast({number} + 1 as int))")
 
 
 def _annual_end() -> Column:
@@ -54,12 +58,27 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _once(build):
+    """Keep the (lazy) frame a builder returned, so a study that asks twice plans it once."""
+
+    @functools.wraps(build)
+    def kept(self, *args, **kwargs):
+        key = (build.__name__, args, tuple(sorted(kwargs.items())))
+        if key not in self._frames:
+            self._frames[key] = build(self, *args, **kwargs)
+        return self._frames[key]
+
+    return kept
+
+
 class Star:
     """The domain tables of one star-schema folder, built lazily on request."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._frames: dict = {}
 
+    @_once
     def table(self, name: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name)
 
@@ -72,21 +91,22 @@ class Star:
             lines = lines.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < last))
         return lines
 
+    @_once
     def companies(self) -> DataFrame:
         nation = self.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
-        group = F.concat_ws(" ", "gics_sector_name", _pick(["Equipment", "Services"], (F.col("company_id") % 2).cast("int")))
-        industry = F.concat_ws(" ", "gics_industry_group_name", _pick(["North", "South", "West"], (F.col("company_id") % 3).cast("int")))
-        sub = F.concat_ws(" ", "gics_industry_name", _pick(["Large", "Small"], (F.col("company_id") % 5 % 2).cast("int")))
-        sector = F.when(F.col("s_nationkey") != 24, _pick(SECTORS, F.col("s_nationkey") % 11))
+        group = F.concat_ws(" ", "gics_sector_name", _pick(["Equipment", "Services"], "company_id % 2"))
+        industry = F.concat_ws(" ", "gics_industry_group_name", _pick(["North", "South", "West"], "company_id % 3"))
+        sub = F.concat_ws(" ", "gics_industry_name", _pick(["Large", "Small"], "company_id % 5 % 2"))
+        sector = F.when(F.col("s_nationkey") != 24, _pick(SECTORS, "s_nationkey % 11"))
         return (
             self.table("supplier")
             .join(nation, "s_nationkey")
             .select(
                 F.col("s_suppkey").alias("company_id"),
-                F.concat(F.lit("S"), "s_suppkey", F.lit(" "), _pick(REGION_COUNTRY, F.col("n_regionkey")), F.lit(" Equity")).alias("ticker"),
+                F.concat(F.lit("S"), "s_suppkey", F.lit(" "), _pick(REGION_COUNTRY, "n_regionkey"), F.lit(" Equity")).alias("ticker"),
                 F.col("s_name").alias("company_name"),
-                _pick(REGION_COUNTRY, F.col("n_regionkey")).alias("country_id"),
-                _pick(REGION_CURRENCY, F.col("n_regionkey")).alias("currency"),
+                _pick(REGION_COUNTRY, "n_regionkey").alias("country_id"),
+                _pick(REGION_CURRENCY, "n_regionkey").alias("currency"),
                 sector.alias("gics_sector_name"),
                 F.col("s_acctbal").cast("decimal(20,2)").alias("current_market_cap"),
                 F.lit(True).alias("is_active"),
@@ -126,6 +146,7 @@ class Star:
             *[value[m].alias(m) for m in schemas.MEASURES], F.lit(None).cast("string").alias("currency"),
         )
 
+    @_once
     def financials(self, period_type: str | None = None, years: tuple[int, int] | None = None) -> DataFrame:
         """Statements of one period type, or of both from a single pass over the lines."""
         year = F.year("l_shipdate")
@@ -142,6 +163,7 @@ class Star:
         )
         return self._statements(annual, _annual_end(), "ANNUAL").unionByName(quarterly)
 
+    @_once
     def weekly_sales(self) -> DataFrame:
         """Sales of each company and week: value in cents, and quantity."""
         day = F.col("l_shipdate").cast("date")
@@ -152,6 +174,7 @@ class Star:
             .select("company_id", F.date_add("monday", 4).alias("price_date"), "value", "quantity", "lines")
         )
 
+    @_once
     def prices(self) -> DataFrame:
         """Weekly mean price and its change to the company's previous traded week."""
         win = Window.partitionBy("company_id").orderBy("price_date")
@@ -161,6 +184,7 @@ class Star:
             .withColumn("total_return", pct_change(F.col("close_price"), F.lag("close_price").over(win)))
         )
 
+    @_once
     def membership(self, size: int = 30, us_size: int = 15) -> DataFrame:
         """Year-end members: UKX is the top sellers with weights, SPX the US ones without."""
         price, disc = scaled("l_extendedprice"), scaled("l_discount")
@@ -207,9 +231,10 @@ class Star:
                 F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
                 F.count_if(F.col("o_orderstatus") == "F").alias("filled"),
             )
-            .select(_pick(REGION_COUNTRY, F.col("n_regionkey")).alias("country_id"), F.col("month").alias("indicator_date"), "value", "orders", "urgent", "filled")
+            .select(_pick(REGION_COUNTRY, "n_regionkey").alias("country_id"), F.col("month").alias("indicator_date"), "value", "orders", "urgent", "filled")
         )
 
+    @_once
     def macro(self) -> DataFrame:
         """Monthly indicators per country in long form."""
         win = Window.partitionBy("country_id").orderBy("indicator_date")
@@ -236,6 +261,7 @@ class Star:
             )
         )
 
+    @_once
     def rates(self, rate_type: str | None = None) -> DataFrame:
         """Weekly rates per country: mean tax as the 10-year yield, mean discount as the policy rate."""
         country = self.companies().select(F.col("company_id").alias("l_suppkey"), "country_id")

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel import schemas
-from tidepanel.functions import periods
 from tidepanel.functions.aggregates import scaled
 from tidepanel.sources.star import INDICATORS, REGION_COUNTRY, Star
 
@@ -54,6 +53,13 @@ def _cell(row: Column | int, col: Column | int, value: Column) -> list[Column]:
     return [as_long(row).alias("row_no"), as_long(col).alias("col_no"), value.alias("value")]
 
 
+def _date_cells(rows: DataFrame, fmt: str) -> DataFrame:
+    """First-column cells, one per sheet row. The date is an aggregate, so filters on
+    its text stay above the aggregation and are evaluated once per sheet row."""
+    dates = rows.groupBy("row").agg(F.max("date").alias("date"))
+    return dates.select(*_cell(F.col("row"), 0, F.date_format("date", fmt)))
+
+
 def price_cells(star: Star) -> DataFrame:
     """Two columns per company; every second company has its return column first."""
     first_col = F.col("company_id") * 2 + 1
@@ -76,8 +82,7 @@ def price_cells(star: Star) -> DataFrame:
     body = sales.select(F.explode(F.array(
         F.struct(*_cell(row, price_col, price)), F.struct(*_cell(row, return_col, change)),
     )).alias("c")).select("c.*")
-    weeks = star.table("lineitem").select(periods.week_friday(F.col("l_shipdate").cast("date")).alias("price_date")).distinct()
-    dates = weeks.select(*_cell(row, 0, F.date_format("price_date", "MM/dd/yyyy")))
+    dates = _date_cells(sales.select(row.alias("row"), F.col("price_date").alias("date")), "MM/dd/yyyy")
     return head.unionByName(body).unionByName(dates)
 
 
@@ -103,8 +108,7 @@ def statement_cells(star: Star, period_type: str = "ANNUAL", with_dates: bool =
     ])).alias("c")).select("c.*")
     cells = head.unionByName(body)
     if with_dates:
-        ends = rows.select("period_end_date").distinct()
-        cells = cells.unionByName(ends.select(*_cell(row, 0, F.date_format(end, "dd/MM/yyyy"))))
+        cells = cells.unionByName(_date_cells(rows.select(row.alias("row"), end.alias("date")), "dd/MM/yyyy"))
     return cells
 
 
@@ -142,7 +146,7 @@ def rate_cells(star: Star) -> DataFrame:
     body = weekly.select(F.explode(F.array(
         F.struct(*_cell(row, place, text("tax"))), F.struct(*_cell(row, place + 5, text("disc"))),
     )).alias("c")).select("c.*")
-    dates = weekly.select("monday").distinct().select(*_cell(row, 0, F.date_format(F.date_add("monday", 4), "yyyy-MM-dd")))
+    dates = _date_cells(weekly.select(row.alias("row"), F.date_add("monday", 4).alias("date")), "yyyy-MM-dd")
     return body.unionByName(dates)
 
 
