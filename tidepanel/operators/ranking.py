@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepanel.operators.joins import broadcast_bounded
+
 
 def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """First n rows of each group. Catalyst limits each map task to n rows per
@@ -37,7 +39,7 @@ def _same(columns: Sequence[str], prefix: str) -> Column:
 
 def with_row_number(
     df: DataFrame, order: str, tie: str, group: Sequence[str] = (), slices: int = 64,
-    rank: str = "rank", total: str = "total",
+    rank: str = "rank", total: str = "total", max_groups: int | None = None,
 ) -> DataFrame:
     """Exact row number by (order, tie) inside each group, and the group size.
 
@@ -45,13 +47,17 @@ def with_row_number(
     one task. Here sampled sort keys cut each group into slices; slices are ranked
     in parallel and shifted by the number of rows before them. The sample only
     decides the balance: any cut gives the exact rank. ``tie`` must be unique, so
-    a value shared by many rows is cut as well. NULL sorts first.
+    a value shared by many rows is cut as well. NULL sorts first. The slice table
+    has ``slices`` rows per group; it is broadcast when ``max_groups`` bounds it.
     """
     group = list(group)
+    groups = max_groups if group else 1
     key = F.struct(F.col(order).alias("a"), F.col(tie).alias("b"))
     cuts = _cut_points(df, key, tie, group, slices)
     if group:
         renamed = cuts.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_cuts")
+        if groups:
+            renamed = broadcast_bounded(renamed, groups, row_bytes=64 * slices)
         cut = df.join(renamed, _same(group, "_g_")).drop(*[f"_g_{g}" for g in group])
     else:
         cut = df.withColumn("_cuts", cuts.scalar())
@@ -64,6 +70,8 @@ def with_row_number(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy(*group)).alias(total),
     )
+    if groups:
+        offsets = broadcast_bounded(offsets, groups * slices)
     inside = Window.partitionBy(*place).orderBy(F.col(order).asc_nulls_first(), F.col(tie))
     return (
         sliced.withColumn("_inside", F.row_number().over(inside))
@@ -88,13 +96,13 @@ def with_ntile(df: DataFrame, n: int, order: str, tie: str, out: str, group: Seq
 
 
 def percentiles(
-    df: DataFrame, group: Sequence[str], value: str, tie: str, fractions: dict[str, float],
+    df: DataFrame, group: Sequence[str], value: str, tie: str, fractions: dict[str, float], max_groups: int | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles per group from distributed row numbers.
 
-    Only the rows next to each percentile position reach the final aggregation.
+    Partial aggregates combine map-side, so the rows of a group never meet in one task.
     """
-    ranked = with_row_number(df.where(F.col(value).isNotNull()), value, tie, group, rank="_rank", total="_total")
+    ranked = with_row_number(df.where(F.col(value).isNotNull()), value, tie, group, rank="_rank", total="_total", max_groups=max_groups)
     aggs = []
     for name, q in fractions.items():
         place = (F.col("_total") - 1) * F.lit(q)

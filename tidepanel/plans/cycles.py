@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.functions import periods
-from tidepanel.functions.aggregates import string_list
+from tidepanel.functions.aggregates import correlation, string_list
 from tidepanel.functions.scalars import ratio, share_pct
 from tidepanel.operators.panel import latest_per_entity, with_growth, with_lags, with_period_count, with_rolling
 from tidepanel.operators.ranking import with_ntile
@@ -163,8 +163,6 @@ def housing_correlation(
 ) -> DataFrame:
     """Extension. Per sector and lag: correlation of lagged housing starts with mean revenue
     growth, over (country, quarter) cells."""
-    from tidepanel.functions.aggregates import correlation
-
     growth, bucket = _bucketed(revenue_growth(financials, companies, "QUARTERLY", sectors=sectors), "QUARTERLY")
     cells = growth.where(F.col("rev_growth").isNotNull()).groupBy("gics_sector_name", "country_id", bucket).agg(
         F.avg("rev_growth").alias("growth")

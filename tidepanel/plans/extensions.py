@@ -116,5 +116,5 @@ def leverage_percentiles(financials: DataFrame, companies: DataFrame) -> DataFra
     """Exact cross-sectional percentiles of debt/revenue per year."""
     rows = debt_to_revenue(financials, companies).select("year", "company_id", "debt_to_revenue")
     cuts = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
-    out = percentiles(rows, ["year"], "debt_to_revenue", "company_id", cuts)
+    out = percentiles(rows, ["year"], "debt_to_revenue", "company_id", cuts, max_groups=200)
     return out.select("year", "n", *[F.round(c, 6).alias(c) for c in cuts]).orderBy("year")

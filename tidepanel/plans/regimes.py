@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidepanel.functions import periods
 from tidepanel.functions.aggregates import beta, compound, correlation, covariance, weighted_mean
 from tidepanel.functions.scalars import annualise, band_above, sign_band
-from tidepanel.operators.panel import latest_per_entity, with_difference, with_growth, with_lags
+from tidepanel.operators.panel import with_difference, with_growth, with_lags
 from tidepanel.plans import macro as macro_plans
 
 WEEKS_PER_MONTH = 4.33
@@ -241,9 +241,3 @@ def compound_returns(prices: DataFrame) -> DataFrame:
             F.round(F.sum("total_return"), 4).alias("summed_return_pct"),
         )
     )
-
-
-def latest_yield(rates: DataFrame) -> DataFrame:
-    """Latest 10-year yield of each country."""
-    rows = rates.where(F.col("rate_type") == "10Y_YIELD")
-    return latest_per_entity(rows, "country_id", "rate_date", ["rate_value"])

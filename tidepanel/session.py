@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -24,12 +22,3 @@ def local_session(cores: str = "8", app: str = "tidepanel", memory: str = "8g")
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidepanel-ckpt-"))
-    return spark.sparkContext.getCheckpointDir()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Callable, Sequence
 
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidepanel import schemas
 from tidepanel.functions import cleaning
-from tidepanel.operators.dedup import first_wins
+from tidepanel.operators.dedup import distinct_sorted, first_wins
 
 log = logging.getLogger(__name__)
 
@@ -47,8 +48,7 @@ def read_csv_with_preamble(spark: SparkSession, path: str) -> DataFrame:
     head = [row.value for row in lines.limit(2).collect()]
     if len(head) < 2:
         raise ValueError(f"{path}: expected a preamble and a header line")
-    names = [n.strip() for n in next(iter(spark.createDataFrame([(head[1],)], "value string").select(
-        F.split("value", ",").alias("names")).collect())).names]
+    names = [name.strip() for name in next(csv.reader([head[1]]))]
     names = [name or f"column_{i}" for i, name in enumerate(names)]
     schema = ", ".join(f"`{name}` string" for name in names)
     body = lines.where(~F.col("value").isin(head) & (F.trim("value") != ""))
@@ -78,15 +78,37 @@ def company_master(raw: DataFrame) -> DataFrame:
 SNAPSHOT_COLUMNS = ["Ticker", "Name", "Weight", "Shares", "Price"]
 
 
+# Commas outside quotes: a quoted cell may hold thousands commas.
+CELL_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def text_cells(line: Column) -> Column:
+    """Cells of one CSV line, trimmed and without their quotes."""
+    return F.transform(F.split(line, CELL_COMMA), lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")))
+
+
 def read_snapshots(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """Yearly membership files of a folder; index and year come from the file name.
 
+    Every file has its own header line, so files may carry different columns; a
+    column a file lacks is NULL, and a file without a ticker column is an error.
     Files whose name starts with ``~$`` (editor locks) are left out.
     """
-    listed = spark.read.option("header", True).option("pathGlobFilter", pattern).csv(folder)
-    df = cleaning.trim_names(listed.withColumn("_file", F.element_at(F.split(F.input_file_name(), "/"), -1)))
-    df = df.withColumn("_file", F.url_decode("_file")).where(~F.col("_file").startswith("~$"))
-    return snapshot_rows(cleaning.keep_known(df, [*SNAPSHOT_COLUMNS, "_file"], ["Ticker", "_file"]))
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(
+        "value", F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("_at"),
+    ).where(~F.col("_file").startswith("~$") & (F.trim("value") != ""))
+    headers = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
+    names = text_cells(F.col("_header"))
+    known = F.when(F.array_contains(names, "Ticker"), names).otherwise(
+        F.raise_error(F.concat(F.lit("missing Ticker column in "), "_file"))
+    )
+    headers = headers.select("_file", "_header", known.alias("_names"))
+    cells = lines.join(headers, "_file").where(F.col("value") != F.col("_header")).withColumn(
+        "_cells", F.map_from_entries(F.arrays_zip("_names", text_cells(F.col("value"))))
+    )
+    values = [F.nullif(F.try_element_at("_cells", F.lit(c)), F.lit("")).alias(c) for c in SNAPSHOT_COLUMNS]
+    return snapshot_rows(cells.select("_file", "_at", *values), F.col("_at"))
 
 
 def snapshot_rows(df: DataFrame, order: Column | None = None) -> DataFrame:
@@ -119,8 +141,6 @@ def membership_rows(raw: DataFrame, companies: DataFrame) -> DataFrame:
 
 def ticker_list(membership: DataFrame) -> DataFrame:
     """Distinct sorted tickers; the column may be called ``Ticker`` or ``ticker``."""
-    from tidepanel.operators.dedup import distinct_sorted
-
     name = cleaning.resolve_column(membership, "Ticker", "ticker")
     return distinct_sorted(membership.select(F.col(name).alias("ticker")), "ticker")
 

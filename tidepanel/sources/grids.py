@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidepanel import schemas
 from tidepanel.functions import cleaning
 from tidepanel.operators.joins import broadcast_bounded
+from tidepanel.sources.files import text_cells
 
 SHEET_ROWS = 1 << 20  # row limit of a spreadsheet
 
@@ -62,10 +63,8 @@ def read_grid(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_id"),
     )
     numbered = lines.withColumn("row_no", F.row_number().over(order).cast("long") - 1)
-    # A quoted cell may hold commas (thousands), so split on commas outside quotes only.
-    cells = F.split("value", r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    exploded = numbered.select("row_no", F.posexplode(cells).alias("col_no", "value"))
-    return exploded.select("row_no", F.col("col_no").cast("long").alias("col_no"), F.regexp_replace("value", '^"|"$', "").alias("value"))
+    exploded = numbered.select("row_no", F.posexplode(text_cells(F.col("value"))).alias("col_no", "value"))
+    return exploded.select("row_no", F.col("col_no").cast("long").alias("col_no"), "value")
 
 
 def _row_dates(cells: DataFrame, first_data_row: int) -> DataFrame:
@@ -150,7 +149,7 @@ def month_grid(cells: DataFrame, country_id: str | Column, layout: MonthLayout =
     by_row = [c for c in ("country_id",) if c in cells.columns]
     labels = body.where(F.col("col_no") < layout.first_month_col).groupBy(*by_row, "row_no").agg(
         F.max(F.when(F.col("col_no") == 0, F.trim("value"))).alias("indicator_name"),
-        F.max(F.when(F.col("col_no") == 1, F.trim("value"))).alias("bloomberg_ticker"),
+        F.max(F.when(F.col("col_no") == 1, F.nullif(F.trim("value"), F.lit("")))).alias("bloomberg_ticker"),
     ).where(F.col("indicator_name").isNotNull() & (F.col("indicator_name") != ""))
     values = body.where(F.col("col_no") >= layout.first_month_col).withColumn("indicator_value", cleaning.to_number("value"))
     values = values.where(F.col("indicator_value").isNotNull())
@@ -160,7 +159,9 @@ def month_grid(cells: DataFrame, country_id: str | Column, layout: MonthLayout =
         "indicator_name", "bloomberg_ticker", "indicator_value", cleaning.category("indicator_name").alias("indicator_category"), "row_no",
     )
     first = F.min_by(F.struct("indicator_name", "indicator_value", "indicator_category"), "row_no").alias("f")
-    return rows.groupBy("country_id", "indicator_date", "bloomberg_ticker").agg(first).select(
+    # Rows without a vendor ticker have no key to clash on: all of them stay.
+    keyless = F.when(F.col("bloomberg_ticker").isNull(), F.col("row_no")).alias("keyless")
+    return rows.groupBy("country_id", "indicator_date", "bloomberg_ticker", keyless).agg(first).select(
         "country_id", "indicator_date", "f.indicator_name", "bloomberg_ticker", "f.indicator_value", "f.indicator_category"
     )
 
