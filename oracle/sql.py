@@ -386,7 +386,8 @@ SELECT country_id, year(qs) || '-Q' || quarter(qs) AS year_quarter, {rnd('starts
     "monotone_decline": sql("annual", """
 SELECT company_id, period_end_date, CASE WHEN p2 IS NOT NULL THEN CASE WHEN total_debt < p1 AND p1 < p2 THEN CAST(1 AS BIGINT) ELSE 0 END END AS declining
 FROM (SELECT *, LAG(total_debt,1) OVER w AS p1, LAG(total_debt,2) OVER w AS p2 FROM annual WINDOW w AS (PARTITION BY company_id ORDER BY period_end_date))"""),
-    "ntile_quartiles": sql("annual", "SELECT company_id, revenue, NTILE(4) OVER (ORDER BY revenue, company_id) AS quartile FROM annual WHERE year(period_end_date)=2000"),
+    "ntile_quartiles": sql("sales", """
+SELECT company_id, revenue, NTILE(4) OVER (ORDER BY revenue, company_id) AS quartile FROM (SELECT company_id, CAST(SUM(revenue) AS DOUBLE) AS revenue FROM sales GROUP BY 1)"""),
     "leadlag_profile": sql("sectorcpi", f"""
 SELECT gics_sector_name, lag, windows, mean_correlation, ROW_NUMBER() OVER (PARTITION BY gics_sector_name ORDER BY ABS(mean_correlation) DESC NULLS LAST, lag) AS lag_rank
 FROM (SELECT gics_sector_name, lag, COUNT(*) AS windows, {rnd('AVG(corr)', 6)} AS mean_correlation FROM (
@@ -459,7 +460,9 @@ FROM (SELECT gics_sector_name, COUNT(*) AS weeks, AVG(r) AS ar, AVG(chg) AS ac,
     # variants
     "q_v_uc1_q1_export": sql("ukx", f"SELECT year, CAST(SUM(weight) AS DOUBLE) AS top10_weight_pct, COUNT(*) AS top10_count FROM ({_TOP10}) WHERE rank <= 10 GROUP BY 1"),
     "q_v_uc1_q2_export": sql("ukx", _HHI),
-    "q_v_uc1_q3_pivot": sql("changes", "SELECT year, SUM(CASE WHEN status='ENTRY' THEN 1 ELSE 0 END)::BIGINT AS entries, SUM(CASE WHEN status='EXIT' THEN 1 ELSE 0 END)::BIGINT AS exits FROM changes GROUP BY 1"),
+    "q_v_uc1_q3_pivot": sql("ukx changes", """
+SELECT y.year, COUNT(*) FILTER (c.status='ENTRY') AS entries, COUNT(*) FILTER (c.status='EXIT') AS exits
+FROM (SELECT DISTINCT year FROM ukx) y LEFT JOIN changes c ON c.year=y.year GROUP BY 1"""),
     "q_v_uc2_q1_export": sql("debtratio", _leverage(False)),
     "q_v_uc2_q2_by_sector": sql("debtratio", """
 SELECT year, gics_sector_name, COUNT(*) AS deleveraging_companies, COUNT(*) AS count_by_sector

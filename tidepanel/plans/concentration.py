@@ -110,18 +110,22 @@ def hhi_with_returns(
     )
 
 
-def membership_changes(membership: DataFrame, index_id: str, last_year: int) -> DataFrame:
-    """One row per entry (no membership in the year before) and per exit.
+def member_years(membership: DataFrame, index_id: str, last_year: int) -> DataFrame:
+    """Member years of each company, marked where it entered (no membership in the year before)
+    and where it left. An exit carries the last member year; the final year cannot show exits.
 
-    An exit carries the last member year; the final year cannot show exits. Both
-    come from one pass over each company's member years, without a self-join.
-    """
+    One pass over each company's years finds both, without a self-join."""
     years = membership.where(F.col("index_id") == index_id).select("company_id", F.year("as_of_date").alias("year")).distinct()
     near = with_periods_since(years, "company_id", "year")
     entered = F.col("prev_period").isNull() | (F.col("prev_period") != F.col("year") - 1)
     left = (F.col("next_period").isNull() | (F.col("next_period") != F.col("year") + 1)) & (F.col("year") < last_year)
-    status = F.array_compact(F.array(F.when(entered, F.lit("ENTRY")), F.when(left, F.lit("EXIT"))))
-    return near.select("company_id", "year", F.explode(status).alias("status"))
+    return near.select("company_id", "year", entered.alias("entered"), left.alias("left_after"))
+
+
+def membership_changes(membership: DataFrame, index_id: str, last_year: int) -> DataFrame:
+    """One row per entry and per exit."""
+    status = F.array_compact(F.array(F.when(F.col("entered"), F.lit("ENTRY")), F.when(F.col("left_after"), F.lit("EXIT"))))
+    return member_years(membership, index_id, last_year).select("company_id", "year", F.explode(status).alias("status"))
 
 
 def index_churn(membership: DataFrame, companies: DataFrame, index_id: str = "UKX", last_year: int = 2024) -> DataFrame:
@@ -136,10 +140,10 @@ def index_churn(membership: DataFrame, companies: DataFrame, index_id: str = "UK
 
 
 def churn_counts(membership: DataFrame, index_id: str = "UKX", last_year: int = 2024) -> DataFrame:
-    """Entries and exits as two columns per member year."""
+    """Entries and exits as two columns for every member year, years without a change included."""
     return (
-        membership_changes(membership, index_id, last_year)
+        member_years(membership, index_id, last_year)
         .groupBy("year")
-        .agg(F.count_if(F.col("status") == "ENTRY").alias("entries"), F.count_if(F.col("status") == "EXIT").alias("exits"))
+        .agg(F.count_if("entered").alias("entries"), F.count_if("left_after").alias("exits"))
         .orderBy("year")
     )
