@@ -520,7 +520,7 @@ SELECT a.country_id, a.year, {rnd('ANY_VALUE(a.gdp_growth)', 6)} AS gdp_growth,
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY country_id ORDER BY year) AS i FROM gdp) a JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY country_id ORDER BY year) AS i FROM gdp) b ON a.country_id=b.country_id AND b.i BETWEEN a.i-2 AND a.i
 GROUP BY 1, 2 HAVING COUNT(*) = 3"""),
     "ext_concentration_gdp": sql("ukx gdp", f"""
-SELECT country_id, COUNT(*) AS years, {rnd(_POP_CORR.format(x='w', y='gdp_growth'), 6)} AS correlation
+SELECT country_id, COUNT(*) AS years, {rnd('COVAR_POP(w, gdp_growth)/NULLIF(STDDEV_POP(w)*STDDEV_POP(gdp_growth), 0)', 6)} AS correlation
 FROM gdp JOIN (SELECT year, CAST(SUM(weight) AS DOUBLE) AS w FROM ({_TOP10}) WHERE rank <= 10 GROUP BY 1) t USING (year) GROUP BY 1"""),
     "ext_asof_available": sql("prices financials", """
 SELECT p.company_id, p.price_date, f.available_date AS asof_available_date, f.period_type, f.period_end_date, f.revenue
