@@ -7,12 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import chat, shards
-from tidepanel.llm.common import load, text_bytes
+from tidepanel.llm import chat, packing, shards, urls, warc
+from tidepanel.llm.common import load, new_folder, text_bytes, written
 
 SHARDS = 24
 
 
+RULES = [urls.Rule("net", "/", "block"), urls.Rule("example.net", "/en/", "allow"),
+         urls.Rule("example.com", "/de/", "block"), urls.Rule("org", "/fr/", "allow")]
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as records of ZIP-packaged archives in the shared folder and read back by range."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    records = warc.plan_records(pages, "page_id", "url", F.col("html").cast("binary"))
+    archives = written(warc.write_archives(records, new_folder(spark, "warc")), "archives")
+    back = warc.read_records(warc.locate_records(archives))
+    page = lambda c: F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1).try_cast("long")
+    whole = F.col("payload").isNotNull()
+    return back.select(
+        page(F.col("record_id")).alias("page_id"),
+        F.when(whole, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
+        F.when(whole, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", page(F.col("refers_to")).alias("refers_to"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces packed into sequences of 2048."""
+    docs = load(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, "doc_id", "text").withColumnRenamed("key", "doc_id")
+
+
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL under the four rules, else under trees learned from pages with a label (low quality or toxic: block)."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    labels = load(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(
+        ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("label"))
+    model = urls.fit(pages.join(labels, pages["page_id"] == labels["doc_id"]).select("url", "label"))
+    return urls.judge(pages, "url", RULES, model).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents over 24 equal shards by their id; null text has size 8 and the checksum of no bytes."""
     docs = load(spark, sf_dir, "documents").select(
@@ -39,11 +73,26 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op3_packing": op3_packing,
+    "op5_urls": op5_urls,
     "op7_sharding": op7_sharding,
     "op10_chat": op10_chat,
 }
 
 SQL: dict[str, str] = {
+    "op1_warc": """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), facts AS (
+    SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+        max(page_id) OVER (PARTITION BY payload) AS last FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM facts
+""",
     "op10_chat": r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
