@@ -11,16 +11,21 @@ class Encoder:
     Byte-level BPE splits a text into pieces before merging and never merges across them. A single line end, and a
     single space between two visible characters, always begin a new piece, so the words between them can be
     encoded once and remembered. A text where white space meets white space or its ends is encoded as a whole.
-    The memory is emptied when it holds ``most`` words.
+    Marks that end a word are a piece of their own behind a letter, so a new word may be put together from a known
+    one and its marks. The memory has two generations of ``most`` words: when the young one is full it becomes the
+    old one, and what isn't met again is forgotten with it.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    #: Marks that never begin a contraction and are neither letter, digit nor white space.
+    MARKS = ".,;:!?|$%&*()"
+
+    def __init__(self, path: str, most: int = 450_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.line_end = self.ids("\n")
-        self.most, self.known = most, {}
+        self.most, self.known, self.old, self.marks = most, {}, {}, {}
 
     def ids(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -37,9 +42,36 @@ class Encoder:
             self.known[word] = ids[4 * at:4 * cut]
             at = cut + 1
 
+    def add(self, words: set[str]) -> None:
+        """Make the words known: remembered, put together, or encoded."""
+        known, old, rest, joined = self.known, self.old, set(), []
+        for w in words:
+            if w in old:
+                known[w] = old[w]
+                continue
+            base = w.rstrip(self.MARKS)
+            if base and base != w and base[-1].isalpha():
+                joined.append((w, base))
+                if base not in known:
+                    if base in old:
+                        known[base] = old[base]
+                    else:
+                        rest.add(base)
+            else:
+                rest.add(w)
+        if rest:
+            self.learn(list(rest))
+        for w, base in joined:
+            marks = w[len(base):]
+            if marks not in self.marks:
+                self.marks[marks] = self.ids(marks)
+            known[w] = known[base] + self.marks[marks]
+        if len(self.marks) > self.most:
+            self.marks = {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.most:
-            self.known = {}
+            self.known, self.old = {}, self.known
         lines = []
         for text in texts:
             words = [line.replace(" ", "\x00 ").split("\x00") for line in text.split("\n")] if "\x00" not in text else [[""]]
@@ -48,7 +80,7 @@ class Encoder:
         plain = {w for w in new if w and w[-1] > " " and not w[-1].isspace() and not (w[1:2] or w).isspace() and not (
             w[0] != " " and w[0].isspace())}
         if plain:
-            self.learn(list(plain))
+            self.add(plain)
         odd = new - plain
         known, end, out = self.known, self.line_end, []
         for text, words in zip(texts, lines):
