@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import chat, language, neardup, neighbours, packing, shards, urls, warc
+from tidepanel.llm import chat, language, neardup, neighbours, packing, shards, suffixes, urls, warc
 from tidepanel.llm.common import load, new_folder, text_bytes, written
 
 SHARDS = 24
@@ -56,6 +56,13 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, "url", RULES, model).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document under strings of 100 bytes that start earlier, and what is left."""
+    docs = load(spark, sf_dir, "documents")
+    return suffixes.repeats(docs, "doc_id", "text").select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents over 24 equal shards by their id; null text has size 8 and the checksum of no bytes."""
     docs = load(spark, sf_dir, "documents").select(
@@ -99,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_packing": op3_packing,
     "op5_urls": op5_urls,
+    "op6_suffixes": op6_suffixes,
     "op7_sharding": op7_sharding,
     "op8_neighbours": op8_neighbours,
     "op9_minhash": op9_minhash,
