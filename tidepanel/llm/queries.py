@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import chat, language, neardup, neighbours, packing, shards, suffixes, urls, warc
+from tidepanel.llm import chat, language, leaks, neardup, neighbours, packing, shards, suffixes, urls, warc
 from tidepanel.llm.common import load, new_folder, text_bytes, written
 
 SHARDS = 24
@@ -47,6 +47,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, "doc_id", "text").withColumnRenamed("key", "doc_id")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, as such or with other numbers, names and units: one row per pair."""
+    found = leaks.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+    return found.select(F.col("id").alias("doc_id"), "item_id", F.col("windows").cast("long").alias("windows"),
+                        F.col("item_windows").cast("long").alias("item_windows"), F.col("start").cast("long").alias("start"),
+                        F.col("tokens").cast("long").alias("tokens"), "kind")
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL under the four rules, else under trees learned from pages with a label (low quality or toxic: block)."""
     pages = load(spark, sf_dir, "pages").select("page_id", "url")
@@ -105,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language": op2_language,
     "op3_packing": op3_packing,
+    "op4_decontamination": op4_decontamination,
     "op5_urls": op5_urls,
     "op6_suffixes": op6_suffixes,
     "op7_sharding": op7_sharding,
