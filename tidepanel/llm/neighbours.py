@@ -119,8 +119,10 @@ def search(items: DataFrame, queries: DataFrame, key: str, vector: str, k: int,
     Equal vectors are one entry of the index with their k + 1 smallest ids; by the order of ties no other of them
     can be among the k nearest. Equal query vectors are searched once. Trees are fitted on ``sample`` vectors,
     every vector goes to its leaf in each tree, and each query is sent to the leaves that its queue names, so a
-    task holds one leaf and the queries that visit it. Scores are taken again in double precision, one pair at a
-    time, so that they don't depend on where a pair meets.
+    task holds one leaf and the queries that visit it. Of the sample's vectors in the visited leaves, the
+    (k + 1)-th best score bounds the query's from below, so a leaf returns nothing worse; and an item that the query
+    meets in several trees is returned by the first. Scores are taken again in double precision, one pair at a time, so that they don't depend on
+    where a pair meets.
     """
     spark = items.sparkSession
     rows = lambda df: df.select(
@@ -142,40 +144,58 @@ def search(items: DataFrame, queries: DataFrame, key: str, vector: str, k: int,
     points = np.array([r["vector"] for r in drawn])
     leaves = min(n / leaf_rows, len(points) / LEAF_SAMPLE)
     forest = grow(points, norm, max(0, round(math.log2(max(leaves, 1)))), trees if leaves >= 2 else 1, k)
+    inner, drawn_leaves = forest.cuts.shape[1], forest.leaves(points)
     parts = max(1, round(n / 2 ** round(math.log2(forest.cuts.shape[1] + 1)) / (4 * leaf_rows)))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                for t, leaf in enumerate(forest.leaves(matrix(b.column(0)))):
-                    part = np.array([i[0] % parts for i in b.column(1).to_pylist()])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(leaf), t, np.int32)), pa.array(leaf.astype(np.int32)),
-                                                      pa.array(part, pa.int32()), *b.columns], names=["tree", "leaf", "part", "vector", "ids"])
+                leaves = forest.leaves(matrix(b.column(0)))
+                everywhere = pa.array(list(leaves.T.astype(np.int32)), pa.list_(pa.int32()))
+                part = np.array([i[0] % parts for i in b.column(1).to_pylist()])
+                for t, leaf in enumerate(leaves):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(leaf), t, np.int32)), pa.array(leaf.astype(np.int32)), pa.array(part, pa.int32()), *b.columns,
+                                                      everywhere], names=["tree", "leaf", "part", "vector", "ids", "leaves"])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 some = b.slice(at, 256)
-                margins = forest.margins(matrix(some.column(0)))
+                q = matrix(some.column(0))
+                scores, least = q @ points.T, np.full(len(q), -np.inf)
+                visited = np.zeros((len(q), *forest.planes.shape[:1], inner + 1), bool)
                 found = []
-                for i, m in enumerate(margins):
+                for i, m in enumerate(forest.margins(q)):
                     for (t, leaf), _ in zip(forest.ordered(m), range(forest.visits)):
+                        visited[i, t, leaf] = True
                         found += [(t, leaf, p, i) for p in range(parts)]
+                    reached = scores[i, visited[i, np.arange(len(drawn_leaves))[:, None], drawn_leaves].any(0)]
+                    if len(reached) > k:
+                        least[i] = np.partition(reached, -(k + 1))[-(k + 1)]
+                some = pa.RecordBatch.from_arrays([*some.columns, pa.array(least), pa.array([v.tobytes() for v in np.packbits(visited.reshape(len(q), -1), axis=1)], pa.binary())],
+                                                  names=["vector", "query", "least", "visited"])
                 t, leaf, p, i = (np.array(c, np.int32) for c in zip(*found))
                 for cut in range(0, len(i), 8192):
                     s = slice(cut, cut + 8192)
                     yield pa.RecordBatch.from_arrays([pa.array(t[s]), pa.array(leaf[s]), pa.array(p[s]), *[c.take(pa.array(i[s])) for c in some.columns]],
-                                                     names=["tree", "leaf", "part", "vector", "query"])
+                                                     names=["tree", "leaf", "part", "vector", "query", "least", "visited"])
 
     def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[int, int, float]] = []
         if left.num_rows and right.num_rows:
             x, q = matrix(left["vector"].combine_chunks()), matrix(right["vector"].combine_chunks())
             ids, asked = left["ids"].to_pylist(), right["query"].to_pylist()
+            floor, tree = right["least"].to_numpy(), left["tree"][0].as_py()
+            leaves = np.array(left["leaves"].to_pylist())[:, :tree]
+            visited = np.unpackbits(np.frombuffer(b"".join(right["visited"].to_pylist()), np.uint8).reshape(len(q), -1), axis=1)
+            visited = visited[:, :forest.planes.shape[0] * (inner + 1)].reshape(len(q), -1, inner + 1).astype(bool)
             for at in range(0, len(q), 512):
                 rough = q[at:at + 512] @ x.T
                 least = np.partition(rough, -min(k + 1, len(x)), axis=1)[:, -min(k + 1, len(x))]
+                least = np.maximum(least, floor[at:at + 512])
                 near, which = np.nonzero(rough >= (least - 1e-9 * (1 + np.abs(least)))[:, None])
+                new = ~visited[(at + near)[:, None], np.arange(tree), leaves[which]].any(1)  # not met in a tree before
+                near, which = near[new], which[new]
                 exact = np.einsum("ij,ij->i", q[at + near], x[which])
                 order = np.lexsort((-exact, near))
                 near, which, exact = near[order], which[order], exact[order]
@@ -187,8 +207,8 @@ def search(items: DataFrame, queries: DataFrame, key: str, vector: str, k: int,
 
     asked = rows(queries).where(F.size("vector") == d).distinct()
     groups = asked.groupBy("vector").agg(F.min("id").alias("query"))
-    stored = classes.select("vector", "ids").mapInArrow(index, "tree int, leaf int, part int, vector array<double>, ids array<long>")
-    sent = groups.select("vector", "query").mapInArrow(visit, "tree int, leaf int, part int, vector array<double>, query long")
+    stored = classes.select("vector", "ids").mapInArrow(index, "tree int, leaf int, part int, vector array<double>, ids array<long>, leaves array<int>")
+    sent = groups.select("vector", "query").mapInArrow(visit, "tree int, leaf int, part int, vector array<double>, query long, least double, visited binary")
     place = ["tree", "leaf", "part"]
     met = stored.groupBy(*place).cogroup(sent.groupBy(*place)).applyInArrow(nearest, "query long, vec_id long, score double")
     best = met.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
