@@ -135,8 +135,11 @@ class Family:
 
 
 def with_order(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``id, uid, text`` (bytes). ``uid`` tells apart rows of a repeated or missing id by their place in the scan."""
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text"))
+    """``id, uid, text`` (bytes) and ``row``, a struct of all columns. ``uid`` tells apart rows of a repeated or missing
+    id by their place in the scan."""
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text"),
+                       F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text],
+                                F.when(F.octet_length(f"`{text}`") == 0, "").alias(f"c{len(docs.columns)}")).alias("row"))
     total, known, distinct = rows.agg(F.count(F.lit(1)), F.count("id"), F.lit(0)).first()
     if total == known:
         distinct = rows.groupBy("id").count().where("count > 1").limit(1).count()
@@ -151,12 +154,13 @@ def marked(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
 
 
 def repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per document its spans to remove: ``id, uid, n_bytes, n_removed, n_spans, spans, kept``.
+    """Per document its spans to remove: ``id, uid, row, n_bytes, n_removed, n_spans, spans, kept``.
 
     A byte is removed if a string of 100 bytes that covers it starts earlier too: in a smaller id, or in the same
     text further left; matches lie within texts, may overlap, and are judged on the input. Rows of one id, or
     without id (after all others), are ordered by their place in the scan. ``spans`` are maximal runs ``(start,
-    end)`` in bytes, ``kept`` the remaining bytes. Null and empty texts have none. Other columns are ignored.
+    end)`` in bytes, ``kept`` the remaining bytes. Null and empty texts have none. ``row`` has the columns other than
+    the text, as fields c0, c1, ... by their place.
     """
     source = with_order(docs, key, text)
 
@@ -205,7 +209,7 @@ def repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 removed, runs, spans, kept = [], [], [], []
-                for value, marks in zip(part.column(2), part.column(3)):
+                for value, marks in zip(part.column(3), part.column(4)):
                     data, marks = value.as_py(), marks.as_py() or b""
                     ranges = merged(np.frombuffer(marks, ">u4").astype(np.int64).reshape(-1, 2))
                     edges = [0, *ranges.ravel().tolist(), len(data)]
@@ -213,19 +217,34 @@ def repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
                     removed.append(len(data) - len(kept[-1]))
                     runs.append(len(ranges))
                     spans.append([{"start": a, "end": z} for a, z in ranges.tolist()])
-                n = pa.array([len(v.as_buffer()) for v in part.column(2)], pa.int64())
+                n = pa.array([len(v.as_buffer()) for v in part.column(3)], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), n, pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
+                    [part.column(0), part.column(1), part.column(2), n, pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
-                    names=["id", "uid", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
+                    names=["id", "uid", "row", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
     if source.where("id IS NULL").limit(1).count():  # a null id must meet its marks too
         out = marked(source.withColumn("id", F.coalesce("id", F.lit(-2**63))), ranges.withColumn("id", F.coalesce("id", F.lit(-2**63))), "left").withColumn(
             "id", F.when(F.col("id") != -2**63, F.col("id")))
     else:
         out = marked(source, ranges, "left")
-    return out.select("id", "uid", "text", "marks").mapInArrow(
-        cut, "id long, uid long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept binary")
+    kind = source.schema["row"].dataType.simpleString()
+    return out.select("id", "uid", "row", "text", "marks").mapInArrow(
+        cut, f"id long, uid long, row {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept binary")
+
+
+def without_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The documents, all columns as they were but the text, which loses the spans of ``repeats``.
+
+    Where a span cuts a character, the rest of that character goes too. A text without spans stays as it is, null
+    stays null.
+    """
+    found = repeats(docs, key, text)
+    valid = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
+    whole = F.when(F.col("n_removed") > 0, valid).otherwise(F.when(F.col("n_bytes") > 0, F.col("kept").cast("string")).otherwise(F.col("empty")))
+    # null and empty texts are both empty bytes; which it was is carried beside them
+    return found.withColumn("empty", F.col(f"row.c{len(docs.columns)}")).select(
+        *[whole.alias(c) if c == text else F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def compared(source: DataFrame, open_: DataFrame, stretches: int) -> DataFrame:
