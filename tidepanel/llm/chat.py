@@ -87,14 +87,13 @@ def read_chat(formatted: DataFrame) -> DataFrame:
 
     Adds ``turns`` (array of role and text, unescaped) and ``learned`` (array of the unescaped texts under the mask).
     """
-    blocks = F.slice(F.split("formatted", r"<\|im_start\|>", -1), 2, 2**31 - 1)
-    df = formatted.withColumn("blocks", blocks)
+    df = formatted.withColumn("blocks", F.split("formatted", r"<\|im_start\|>", -1))  # the first is empty
     # a block is role, line end, texts, END
     head = lambda b: F.instr(b, "\n")
     body = lambda b: F.substr(b, head(b) + 1, F.char_length(b) - head(b) - len(END))
     role = lambda b: unescape_role(F.substr(b, F.lit(1), head(b) - 1))
-    turns = F.flatten(F.transform("blocks", lambda b: F.transform(
+    turns = F.flatten(F.transform(F.slice("blocks", 2, F.size("blocks") - 1), lambda b: F.transform(
         F.split(body(b), r"<\|im_sep\|>", -1), lambda x: F.struct(role(b).alias("role"), unescape(x).alias("text")))))
     learned = F.transform("loss_spans", lambda s: unescape(F.substr(
-        F.get("blocks", s["message"]), (s["offset"] + 1 - len(START)).cast("int"), s["length"].cast("int"))))
+        F.get("blocks", s["message"] + 1), (s["offset"] + 1 - len(START)).cast("int"), s["length"].cast("int"))))
     return df.withColumn("turns", turns).withColumn("learned", learned).drop("blocks")
