@@ -176,7 +176,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str, words: int = 5, percen
     Rows with equal sets are one node before anything is paired, so copies cost a map-side minimum. In every
     bucket of a band each node is paired with one member chosen by hash (not always the same one), which links
     most of a group; what is left are pairs of one bucket from different components, and these are all
-    estimated, in blocks of bounded size. Pairs that the estimate lets pass are decided on full sets.
+    estimated, in blocks of bounded size. Pairs that the estimate lets pass are decided on full sets, the latter
+    in the task where they meet, so that no more than the links themselves come out of a group.
     """
     signed = written(signatures(docs, key, text, words), "signatures")
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(
@@ -196,7 +197,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str, words: int = 5, percen
     likely = pairs.join(sign.toDF("a", "sa"), "a").join(sign.toDF("b", "sb"), "b").where(
         estimate(differing(F.col("sa"), F.col("sb"))) >= least).select("a", "b")
     likely = written(likely, "likely")
-    links = written(decided(docs, text, key, nodes, likely, words, percent), "confirmed")
+    ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    links = written(confirmed(likely, texts_of(docs, text, key, nodes, ends), words, percent), "confirmed")
     found = written(components(links, "a", "b"), "components")
 
     member = buckets.where("size > 2 AND node <> centre").select("bucket", "node", "size").join(found, "node", "left").select(
@@ -204,8 +206,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str, words: int = 5, percen
     mixed_buckets = member.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("bucket")
     open_ = written(member.join(mixed_buckets, "bucket"), "open")
     if open_.limit(1).count():
-        rest = written(across(open_, sign, least).join(likely, ["a", "b"], "left_anti"), "rest")
-        more = written(decided(docs, text, key, nodes, rest, words, percent), "confirmed")
+        texts = texts_of(docs, text, key, nodes, open_.select("node").distinct())
+        more = written(across(open_, sign, texts, least, words, percent), "confirmed")
         found = written(components(links.union(more), "a", "b"), "components")
 
     roots = nodes.select("node", "least_id").join(found, "node")
@@ -219,48 +221,62 @@ def near_duplicates(docs: DataFrame, key: str, text: str, words: int = 5, percen
                        F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
-def decided(docs: DataFrame, text: str, key: str, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Fetch one text for each node of the pairs and confirm the pairs on them."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = written(nodes.join(ends, "node").select("node", "id", "text_key"), "wanted")
+def texts_of(docs: DataFrame, text: str, key: str, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, text``: one text for each node of ``wanted``."""
+    wanted = written(nodes.join(wanted, "node").select("node", "id", "text_key"), "wanted")
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"),
                        F.col(f"`{text}`").cast("binary").alias("text"))
     rows = only(rows, wanted, "id", "text_key").dropDuplicates(["id", "text_key"])
     same = wanted["id"].eqNullSafe(rows["id"]) & (wanted["text_key"] == rows["text_key"])
-    texts = written(wanted.join(rows, same).select("node", "text"), "texts")
-    return confirmed(pairs, texts, words, percent)
+    return written(wanted.join(rows, same).select("node", "text"), "texts")
 
 
-def across(members: DataFrame, sign: DataFrame, least: float) -> DataFrame:
-    """Pairs of one bucket from different components whose estimate is ``least`` or more: ``a < b``, distinct.
+def across(members: DataFrame, sign: DataFrame, texts: DataFrame, least: float, words: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that join different components among members of open buckets.
 
-    A bucket is cut into blocks of ``BLOCK`` members by hash, and each two blocks meet in a task of their own.
+    Buckets that share members form one group, so a node comes once however many buckets it is in. A group is cut
+    into blocks of ``BLOCK`` members by hash, and each two blocks meet in a task, with signatures and texts: pairs
+    of different components are estimated, and decided on full sets where the estimate is ``least`` or more. A
+    link joins its components in the task, and what is in one component needs no further link. Only links leave.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = members.join(sign, "node").withColumn("blocks", blocks).withColumn("own", own)
+    hub = members.groupBy("bucket").agg(F.min("node").alias("hub"))
+    groups = written(components(members.join(hub, "bucket"), "node", "hub"), "groups")
+    own = members.select("node", "root").distinct().join(groups.select("node", F.col("root").alias("grp")), "node")
+    sizes = own.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = own.join(sizes, "grp").join(sign, "node").join(texts, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "signature")
+        "grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "signature", "text")
     ones, fits = np.uint64(_ones()), len(_A) * (1 - (least * (1 - 2.0**-BITS) + 2.0**-BITS))
 
-    def pair(table: pa.Table) -> pa.Table:
-        node, root = table["node"].to_pylist(), table["root"].to_pylist()
+    def link(table: pa.Table) -> pa.Table:
+        node, root, text = (table[c].to_pylist() for c in ("node", "root", "text"))
         ranks = {r: i for i, r in enumerate(dict.fromkeys(root))}
         kind, own = np.array([ranks[r] for r in root]), table["own"].to_numpy()
         sig = np.array(table["signature"].to_pylist(), np.int64).view(np.uint64)
-        a, b = [], []
+        hashes, sets, a, b = WordHashes(), {}, [], []
         first = table["i"][0].as_py()
+        same = table["j"][0].as_py() == first
         left = np.flatnonzero(own == first)
-        right = left if table["j"][0].as_py() == first else np.flatnonzero(own != first)
+        right = left if same else np.flatnonzero(own != first)
         for x in left:
-            d = sig[right] ^ sig[x]
+            rest = right[right > x] if same else right
+            d = sig[rest] ^ sig[x]
             fold = d.copy()
             for i in range(1, BITS):
                 fold |= d >> np.uint64(i)
-            near = np.bitwise_count(fold & ones).sum(1) <= fits
-            for y in right[near & (kind[right] != kind[x])]:
-                a.append(min(node[x], node[y]))
-                b.append(max(node[x], node[y]))
+            differ = np.bitwise_count(fold & ones).sum(1)
+            order = np.argsort(differ, kind="stable")
+            for y in rest[order[differ[order] <= fits]]:
+                if kind[x] == kind[y]:
+                    continue
+                for z in (x, y):
+                    if z not in sets:
+                        sets[z] = hashes.shingles(text[z], words)
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                    a.append(node[x])
+                    b.append(node[y])
+                    kind[kind == kind[y]] = kind[x]
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return met.groupBy("bucket", "i", "j").applyInArrow(pair, "a binary, b binary").distinct()
+    return met.groupBy("grp", "i", "j").applyInArrow(link, "a binary, b binary")
