@@ -187,7 +187,8 @@ def repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
     found = source.select("id", "uid", "text").mapInArrow(find, "gram long, stretch long, id long, uid long, first int, strings int")
     by_gram = Window.partitionBy("gram")
     in_order = Window.partitionBy("gram", "stretch").orderBy(F.asc_nulls_last("id"), "uid", "first")
-    seen = found.withColumn("n", F.row_number().over(in_order)).withColumn("kinds", F.count(F.when(F.col("n") == 1, 1)).over(by_gram))
+    # dealt out once, by gram: both windows are content with that
+    seen = found.repartition("gram").withColumn("n", F.row_number().over(in_order)).withColumn("kinds", F.count(F.when(F.col("n") == 1, 1)).over(by_gram))
     # later copies of a stretch are settled; first ones must be compared where a gram has several
     facts = seen.where("n > 1 OR kinds > 1").select(
         "id", "uid", F.struct("first", "strings", (F.col("n") > 1).alias("copy"), (F.col("kinds") >= HOT).alias("hot"), "gram").alias("m"))
