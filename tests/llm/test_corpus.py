@@ -252,9 +252,8 @@ def test_repeats_equal_brute_force(spark, monkeypatch):
     rows = [(i, " ".join(rng.choice([words(20), rng.choice(shared), rng.choice(shared)[5:150], "=" * rng.randint(90, 400), "ab" * 130]) for _ in range(6))) for i in range(120)]
     rows += [(200, None), (201, ""), (202, "x" * 99), (203, "x" * 100), (204, "x" * 101), (205, rows[3][1]), (206, words(30000)), (207, "\0" * 250)]
     want = brute_repeats(rows)
-    for hot, broadcast in ((20_000, 32 << 20), (2, 0)):
+    for hot in (20_000, 2):
         monkeypatch.setattr(suffixes, "HOT", hot)
-        monkeypatch.setattr(suffixes, "BROADCAST_BYTES", broadcast)
         docs = frame(spark, rows).withColumn("kept", F.lit("clash")).repartition(5)
         got = {r[0]: tuple(r[1:]) for r in suffixes.repeats(docs, "doc_id", "text").select("id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()}
         assert got == want

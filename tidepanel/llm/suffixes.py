@@ -28,8 +28,6 @@ WINDOWS = SPAN - GRAM + 1
 TASK_STRETCHES, BATCH_STRETCHES = 20_000, 2_048
 #: From so many different stretches of one gram on, each of its strings is dealt out by its own bytes.
 HOT = 20_000
-#: Marks up to this size are broadcast to the documents; more are joined by shuffle.
-BROADCAST_BYTES = 32 << 20
 
 _rng = np.random.default_rng(20240507)
 _BYTE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,9 +146,8 @@ def with_order(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def marked(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
-    """Join marks per document to the documents: broadcast if their measured size allows, else by shuffle."""
-    size = marks.agg(F.sum(F.octet_length("marks") + 64)).first()[0] or 0
-    return docs.join(F.broadcast(marks) if size <= BROADCAST_BYTES else marks, ["id", "uid"], how)
+    """Join marks per document to the documents, which are dealt out by id at every size alike."""
+    return docs.join(marks.hint("merge"), ["id", "uid"], how)
 
 
 def repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
