@@ -30,7 +30,7 @@ def _statements(bucket: str, end: str, kind: str) -> str:
 SELECT l_suppkey AS company_id, {end} AS period_end_date, '{kind}' AS period_type,
   CAST(SUM(p*(1-d)) AS DOUBLE) AS revenue,
   CAST(SUM(p*(CAST(0.11 AS DECIMAL(5,2))-d)) AS DOUBLE) AS ebitda,
-  CASE WHEN COUNT(*) FILTER (t = 0.08)*100 >= COUNT(*)*3 THEN CAST(SUM(p*t) AS DOUBLE) END AS interest_expense,
+  CASE WHEN l_suppkey % 17 <> 0 THEN CAST(SUM(p*t) AS DOUBLE) END AS interest_expense,
   CAST(SUM(CASE WHEN l_linestatus='F' THEN p*(1-d) ELSE -10*p*d END) AS DOUBLE) AS free_cash_flow,
   CAST(SUM(p*(1-d)) - SUM(p*(CAST(0.6 AS DECIMAL(5,2))+d)) AS DOUBLE) AS gross_profit,
   CAST(SUM(CASE WHEN l_returnflag='R' THEN p END) AS DOUBLE) AS total_debt,
@@ -231,7 +231,8 @@ ORACLES: dict[str, str] = {
     "ingest_snapshot_union": sql("membership companies", """
 SELECT index_id, as_of_date, ticker, company_name AS name, CAST(weight AS DOUBLE) AS weight, CAST(price AS DOUBLE) AS price FROM membership JOIN companies USING (company_id)"""),
     "ingest_wide_pairs": sql("weekly", """
-SELECT company_id, price_date, value AS close_price, CASE WHEN lines > 1 THEN quantity END AS total_return FROM weekly WHERE lines < 5"""),
+SELECT company_id, price_date, value AS close_price, CASE WHEN (company_id + date_diff('day', DATE '1970-01-02', price_date)) % 5 <> 0 THEN quantity END AS total_return
+FROM weekly WHERE (company_id + date_diff('day', DATE '1970-01-02', price_date)) % 11 <> 0"""),
     "ingest_wide_fields": sql("annual", f"SELECT company_id, period_end_date, period_type, {', '.join(_MEASURES)} FROM annual"),
     "ingest_month_columns": sql("monthly", """
 SELECT country_id, m AS indicator_date, 'Nominal GDP (USD bn)' AS indicator_name, country_id || 'GDPNOM Index' AS bloomberg_ticker, v AS indicator_value, 'GDP' AS indicator_category FROM monthly

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepanel import schemas
+from tidepanel.functions import cleaning
 from tidepanel.operators import quality
 from tidepanel.sources import files, grids
 
@@ -206,3 +207,25 @@ def test_reject_counts(spark):
 
     df = spark.createDataFrame([("1",), ("x",), ("#N/A",), (None,)], "raw string")
     assert quality.reject_report(df, {"raw": cleaning.to_number("raw")}).first().asDict() == {"raw_parsed": 1, "raw_rejected": 1}
+
+
+def test_wide_quoted_line_is_split_in_one_pass(spark, tmp_path):
+    (tmp_path / "wide.csv").write_text(",".join(['"1,234.50"'] * 9000) + ',"a ""b"" c",,plain\n')
+    cells = {r.col_no: r.value for r in grids.read_grid(spark, str(tmp_path / "wide.csv")).collect()}
+    assert len(cells) == 9003 and cells[0] == cells[8999] == "1,234.50"
+    assert [cells[i] for i in (9000, 9001, 9002)] == ['a "b" c', "", "plain"]
+
+
+def test_first_snapshot_by_name_wins_and_ragged_rows_are_read(spark, tmp_path):
+    (tmp_path / "UKX as of 2005.csv").write_text("Ticker,Price,,\nA,111,,\n")
+    (tmp_path / "UKX as of 20051.csv").write_text("Ticker,Price,,\n" + "A,222,,,,\n" * 2000 + "B,333,\n")
+    rows = files.read_snapshots(spark, str(tmp_path)).collect()
+    assert {(r.Ticker, r.Price) for r in rows} == {("A", "111"), ("B", "333")}
+
+
+def test_numbers_are_plain_and_dates_may_have_a_time(spark):
+    texts = ["12f", "1d", "0x1p3", "NaN", "Infinity", "1,234.5", "-.5", "2e3"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(cleaning.to_number("t")).collect()
+    assert [r[0] for r in rows] == [None] * 5 + [1234.5, -0.5, 2000.0]
+    days = spark.createDataFrame([("2005-01-14 00:00:00",), ("01/14/2005 9:30",)], "t string").select(cleaning.to_date("t")).collect()
+    assert [str(r[0]) for r in days] == ["2005-01-14"] * 2

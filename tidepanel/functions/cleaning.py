@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts that mean "no value".
-NULL_TOKENS = ["#N/A", "--", "#N/A Requesting Data...", "N/A", ""]
+NULL_TOKENS = ["#N/A", "--", "#N/A Requesting Data...", "N/A", "", "NaN", "nan", "NULL", "None", "n/a"]
+
+# A plain decimal number; a cast alone would also take 12f, 1d, 0x1p3 and Infinity.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+# The time of a date-time text.
+CLOCK = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$"
 
 # The date formats, each with the shape of the texts it applies to.
 # With slashes month-first wins over day-first, with dashes day-first wins. The
@@ -45,12 +51,13 @@ def null_if_token(col: Column | str) -> Column:
 
 def to_number(col: Column | str) -> Column:
     """Number from text with thousands commas; NULL for tokens and unparsable text."""
-    return F.regexp_replace(null_if_token(col), ",", "").try_cast("double")
+    text = F.regexp_replace(null_if_token(col), ",", "")
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def to_date(col: Column | str) -> Column:
-    """Date from six formats, else NULL."""
-    text, out = F.trim(_c(col)), None
+    """Date from six formats, else NULL; the time of a date-time is left out."""
+    text, out = F.regexp_replace(F.trim(_c(col)), CLOCK, ""), None
     for shape, fmt in DATE_FORMATS:
         test, parsed = text.rlike(shape), F.try_to_date(text, fmt)
         out = F.when(test, parsed) if out is None else out.when(test, parsed)

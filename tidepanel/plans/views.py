@@ -10,7 +10,7 @@ from tidepanel.functions.scalars import positive_ratio
 
 def company_details(companies: DataFrame, countries: DataFrame) -> DataFrame:
     """Companies with their country name (kept without one). ``countries`` is the constant table."""
-    names = F.broadcast(countries.select("country_id", "country_name"))
+    names = countries.select("country_id", "country_name")
     return companies.join(names, "country_id", "left").select(
         "company_id", "ticker", "company_name", "country_id", "country_name", "currency",
         "gics_sector_name", "gics_industry_group_name", "is_active",
@@ -31,12 +31,12 @@ def financials_annual(financials: DataFrame, companies: DataFrame) -> DataFrame:
 def index_members(membership: DataFrame, companies: DataFrame, indices: DataFrame) -> DataFrame:
     """Members with company attributes and index name. ``indices`` is the constant table."""
     attributes = companies.select("company_id", "ticker", "company_name", "country_id", "gics_sector_name")
-    names = F.broadcast(indices.select("index_id", "index_name"))
+    names = indices.select("index_id", "index_name")
     return membership.join(names, "index_id").join(attributes, "company_id")
 
 
 def macro_with_country(macro: DataFrame, countries: DataFrame) -> DataFrame:
-    return macro.join(F.broadcast(countries), "country_id")
+    return macro.join(countries, "country_id")
 
 
 def register(tables: dict[str, DataFrame]) -> None:

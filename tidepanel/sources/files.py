@@ -78,20 +78,29 @@ def company_master(raw: DataFrame) -> DataFrame:
 SNAPSHOT_COLUMNS = ["Ticker", "Name", "Weight", "Shares", "Price"]
 
 
-# Commas outside quotes: a quoted cell may hold thousands commas.
-CELL_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# One cell behind its comma; a quoted cell may hold commas and doubled quotes. Every repetition is possessive, so
+# a line is read once from left to right, however many cells it has.
+CELL = r',\s*+("[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
 
 
 def text_cells(line: Column) -> Column:
-    """Cells of one CSV line, trimmed and without their quotes."""
-    return F.transform(F.split(line, CELL_COMMA), lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")))
+    """Cells of one CSV line, trimmed and without their quotes. A cell cannot hold a line break."""
+
+    def bare(cell: Column) -> Column:
+        inner = F.regexp_replace(cell, '^"|"$', "")
+        return F.trim(F.when(cell.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(inner))
+
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CELL), F.lit(1))
+    return F.transform(cells, lambda c: bare(F.trim(c)))
 
 
 def read_snapshots(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """Yearly membership files of a folder; index and year come from the file name.
 
     Every file has its own header line, so files may carry different columns; a
-    column a file lacks is NULL, and a file without a ticker column is an error.
+    column a file lacks is NULL, and a file without a ticker column is an error. Cells
+    beyond the header and cells without a name are left out; of a repeated row the one
+    in the file first by name stays.
     Files whose name starts with ``~$`` (editor locks) are left out.
     """
     lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(
@@ -105,10 +114,11 @@ def read_snapshots(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
     )
     headers = headers.select("_file", "_header", known.alias("_names"))
     cells = lines.join(headers, "_file").where(F.col("value") != F.col("_header")).withColumn(
-        "_cells", F.map_from_entries(F.arrays_zip("_names", text_cells(F.col("value"))))
+        "_cells", text_cells(F.col("value"))
     )
-    values = [F.nullif(F.try_element_at("_cells", F.lit(c)), F.lit("")).alias(c) for c in SNAPSHOT_COLUMNS]
-    return snapshot_rows(cells.select("_file", "_at", *values), F.col("_at"))
+    place = lambda name: (F.array_position("_names", name) - 1).cast("int")
+    values = [F.nullif(F.get("_cells", place(c)), F.lit("")).alias(c) for c in SNAPSHOT_COLUMNS]
+    return snapshot_rows(cells.select("_file", "_at", *values), F.struct("_file", "_at"))
 
 
 def snapshot_rows(df: DataFrame, order: Column | None = None) -> DataFrame:

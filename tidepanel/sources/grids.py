@@ -77,7 +77,8 @@ def _row_dates(cells: DataFrame, first_data_row: int) -> DataFrame:
 def _blocks(cells: DataFrame, layout: PairLayout | FieldLayout) -> DataFrame:
     """Column -> (ticker of its block, field text of the column, place in the block).
 
-    Both header rows are grouped by block in one pass; a block has a few columns."""
+    Both header rows are grouped by block in one pass; a block has a few columns. Of the
+    blocks of one ticker the last one counts, as a whole."""
     head = cells.where(F.col("row_no").isin(layout.ticker_row, layout.field_row) & (F.col("col_no") >= layout.first_col))
     place = (F.col("col_no") - layout.first_col) % layout.width
     head = head.withColumns({"place": place, "value": cleaning.null_if_token("value")})
@@ -86,7 +87,8 @@ def _blocks(cells: DataFrame, layout: PairLayout | FieldLayout) -> DataFrame:
     blocks = head.groupBy((F.col("col_no") - F.col("place")).alias("block")).agg(
         F.max(F.when(is_ticker, F.col("value"))).alias("ticker"), F.collect_list(column).alias("columns")
     )
-    return blocks.where(F.col("ticker").isNotNull()).select("ticker", F.inline("columns"))
+    last = blocks.where(F.col("ticker").isNotNull()).groupBy("ticker").agg(F.max_by("columns", "block").alias("columns"))
+    return last.select("ticker", "columns", F.inline("columns"))
 
 
 def _keyed(header: DataFrame, companies: DataFrame) -> DataFrame:
@@ -103,13 +105,18 @@ def _data(cells: DataFrame, header: DataFrame, first_data_row: int) -> DataFrame
 
 
 def price_grid(cells: DataFrame, companies: DataFrame, layout: PairLayout = PairLayout()) -> DataFrame:
-    """Weekly prices: the price and return columns of a pair are told apart by their field text.
+    """Weekly prices: the price and return columns of a pair are told apart by their field text,
+    for the pair as a whole: if the second says price and the first does not, they are swapped.
 
     A row needs a price; the first row of a (company, date) wins."""
     blocks = _blocks(cells, layout)
-    by_place = F.when(F.col("place") == 0, "close_price").otherwise("total_return")
-    role = F.when(F.col("field").contains("Price"), "close_price").when(F.col("field").contains("Return"), "total_return")
-    header = blocks.select("col_no", "ticker", role.otherwise(by_place).alias("role"))
+    says = lambda place, word: F.exists(
+        "columns", lambda c: (c["place"] == place) & F.coalesce(c["field"].contains(word), F.lit(False)))
+    price_place = F.when(~says(0, "Price") & says(1, "Price"), 1).otherwise(0)
+    return_place = F.when(~says(1, "Return") & says(0, "Return"), 0).otherwise(1)
+    roles = F.array_compact(F.array(
+        F.when(F.col("place") == price_place, F.lit("close_price")), F.when(F.col("place") == return_place, F.lit("total_return"))))
+    header = blocks.select("col_no", "ticker", F.explode(roles).alias("role"))
     data = _data(cells, _keyed(header, companies), layout.first_data_row).withColumn("number", cleaning.to_number("value"))
     rows = data.groupBy("company_id", "row_no", F.col("date").alias("price_date")).agg(
         F.max(F.when(F.col("role") == "close_price", F.col("number"))).alias("close_price"),

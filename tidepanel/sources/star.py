@@ -131,16 +131,14 @@ class Star:
         return (
             self._lines(years)
             .groupBy(F.col("l_suppkey").alias("company_id"), bucket.alias("bucket"))
-            .agg(*aggs, F.count("*").alias("lines"), F.count_if(tax == 8).alias("top_taxed"))
+            .agg(*aggs)
         )
 
     @staticmethod
     def _statements(parts: DataFrame, period_end: Column, period_type: str) -> DataFrame:
-        """Parts -> measures. Interest is missing where few lines carry the top tax."""
+        """Parts -> measures. Every 17th company does not report its interest."""
         value = {m: whole(m, 10000) for m in schemas.MEASURES}
-        value["interest_expense"] = F.when(
-            F.col("top_taxed") * 100 >= F.col("lines") * 3, value["interest_expense"]
-        )
+        value["interest_expense"] = F.when(F.col("company_id") % 17 != 0, value["interest_expense"])
         return parts.select(
             "company_id", period_end.alias("period_end_date"), F.lit(period_type).alias("period_type"),
             *[value[m].alias(m) for m in schemas.MEASURES], F.lit(None).cast("string").alias("currency"),
@@ -158,8 +156,7 @@ class Star:
         if period_type == "QUARTERLY":
             return quarterly
         annual = quarters.groupBy("company_id", F.floor(F.col("bucket") / 4).cast("int").alias("bucket")).agg(
-            *[part for name in schemas.MEASURES for part in merge_parts(name)],
-            F.sum("lines").alias("lines"), F.sum("top_taxed").alias("top_taxed"),
+            *[part for name in schemas.MEASURES for part in merge_parts(name)]
         )
         return self._statements(annual, _annual_end(), "ANNUAL").unionByName(quarterly)
 
