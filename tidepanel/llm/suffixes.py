@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ SPAN = 100
 #: Bytes of a gram; a string of SPAN bytes has SPAN - GRAM + 1 of them and is owned by the least-hashed, leftmost one.
 GRAM = 24
 WINDOWS = SPAN - GRAM + 1
+#: Bytes of text, about, whose anchors are settled among themselves before they are shuffled.
+FIND_BYTES = 1 << 24
 #: Stretches of text in a task's index family, about, and in one batch of it.
 TASK_STRETCHES, BATCH_STRETCHES = 20_000, 2_048
 #: From so many different stretches of one gram on, each of its strings is dealt out by its own bytes.
@@ -97,6 +100,26 @@ def anchors(b: np.ndarray, powers: Powers) -> tuple[np.ndarray, ...]:
     return grams[owner], stretch, first, last - first + 1
 
 
+def presettled(gram: np.ndarray, stretch: np.ndarray, row: np.ndarray, first: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Settle the copies among anchors that are given in the order of the corpus, before anything is shuffled.
+
+    An anchor whose stretch came earlier here is a copy whatever else the corpus holds, so it need not meet the others
+    of its gram: a passage of a third of all texts leaves each call once. Neighbouring copies of a text become one run,
+    flagged and keyed by its own place. Anchors come back as they were, with a flag for runs.
+    """
+    order = np.lexsort((stretch, gram))  # stable
+    copy = np.zeros(len(gram), bool)
+    copy[order[1:]] = (gram[order[1:]] == gram[order[:-1]]) & (stretch[order[1:]] == stretch[order[:-1]])
+    new, at = ~copy, np.flatnonzero(copy)
+    starts = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]]) | (first[at[1:]] != first[at[:-1]] + strings[at[:-1]])])[:len(at)]
+    heads = at[starts]
+    long = np.add.reduceat(strings[at], np.flatnonzero(starts)) if len(at) else strings[at]
+    place = mixed(stretch[heads] ^ mixed((row[heads].astype(np.uint64) << np.uint64(32)) + first[heads].astype(np.uint64)))
+    join = lambda x, y: np.concatenate([x[new], y])
+    return (join(gram, place), join(stretch, stretch[heads]), join(row, row[heads]), join(first, first[heads]), join(strings, long),
+            np.arange(new.sum() + len(heads)) >= new.sum())
+
+
 def merged(ranges: np.ndarray) -> np.ndarray:
     """Union of ``(start, end)`` rows, touching ones joined."""
     if not len(ranges):
@@ -164,31 +187,38 @@ def repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
+            # in the order of the corpus, so that of equal stretches met here the first one is known
+            keys = pa.table({"id": batch.column(0), "uid": batch.column(1)})
+            order = pc.sort_indices(keys, [("id", "ascending"), ("uid", "ascending")], null_placement="at_end").to_pylist()
             ids, uids, texts = batch.columns
             at = 0
-            while at < batch.num_rows:
+            while at < len(order):
                 rows, size, found = [], 0, []
-                while at < batch.num_rows and size < 1 << 22:
-                    value = texts[at].as_buffer()
+                while at < len(order) and size < FIND_BYTES:
+                    value = texts[order[at]].as_buffer()
                     data = np.frombuffer(value, np.uint8) if value is not None and value.size else np.zeros(0, np.uint8)
                     found.append(anchors(data, powers))
-                    rows.append(at)
+                    rows.append(order[at])
                     size, at = size + len(data), at + 1
                 gram, stretch, first, strings = (np.concatenate(c) for c in zip(*found))
-                take = pa.array(np.repeat(rows, [len(f[0]) for f in found]))
+                row = np.repeat(rows, [len(f[0]) for f in found])
+                gram, stretch, row, first, strings, settled = presettled(gram, stretch, row, first, strings)
+                take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram.view(np.int64)), pa.array(stretch.view(np.int64)), ids.take(take), uids.take(take),
+                    [pa.array(gram.view(np.int64)), pa.array(settled), pa.array(stretch.view(np.int64)), ids.take(take), uids.take(take),
                      pa.array(first.astype(np.int32)), pa.array(strings.astype(np.int32))],
-                    names=["gram", "stretch", "id", "uid", "first", "strings"])
-
-    found = source.select("id", "uid", "text").mapInArrow(find, "gram long, stretch long, id long, uid long, first int, strings int")
-    by_gram = Window.partitionBy("gram")
-    in_order = Window.partitionBy("gram", "stretch").orderBy(F.asc_nulls_last("id"), "uid", "first")
-    # dealt out once, by gram: both windows are content with that
-    seen = found.repartition("gram").withColumn("n", F.row_number().over(in_order)).withColumn("kinds", F.count(F.when(F.col("n") == 1, 1)).over(by_gram))
+                    names=["gram", "settled", "stretch", "id", "uid", "first", "strings"])
+
+    found = source.select("id", "uid", "text").mapInArrow(
+        find, "gram long, settled boolean, stretch long, id long, uid long, first int, strings int")
+    by_gram = Window.partitionBy("gram", "settled")
+    in_order = Window.partitionBy("gram", "settled", "stretch").orderBy(F.asc_nulls_last("id"), "uid", "first")
+    # dealt out once, by gram: both windows are content with that; settled runs have keys of their own and spread evenly
+    seen = found.repartition("gram", "settled").withColumn("n", F.row_number().over(in_order)).withColumn(
+        "kinds", F.count(F.when(F.col("n") == 1, 1)).over(by_gram))
     # later copies of a stretch are settled; first ones must be compared where a gram has several
-    facts = seen.where("n > 1 OR kinds > 1").select(
-        "id", "uid", F.struct("first", "strings", (F.col("n") > 1).alias("copy"), (F.col("kinds") >= HOT).alias("hot"), "gram").alias("m"))
+    facts = seen.where("settled OR n > 1 OR kinds > 1").select("id", "uid", F.struct(
+        "first", "strings", (F.col("settled") | (F.col("n") > 1)).alias("copy"), (F.col("kinds") >= HOT).alias("hot"), "gram").alias("m"))
     facts = written(facts.groupBy("id", "uid").agg(F.collect_list("m").alias("m")), "marks")
 
     open_ = facts.select("id", "uid", F.filter("m", lambda m: ~m["copy"]).alias("m")).where(F.size("m") > 0)
