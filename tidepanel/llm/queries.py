@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import chat, language, leaks, neardup, neighbours, packing, shards, suffixes, urls, warc
+from tidepanel.llm import chat, language, leaks, neardup, neighbours, packing, shards, suffixes, token_counts, urls, warc
 from tidepanel.llm.common import load, new_folder, text_bytes, written
 
 SHARDS = 24
@@ -109,6 +109,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document's whole text, and whether they are more than 4096 tokens."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.with_token_counts(docs, "text", packing.tokenizer_path("piece_bpe_32k.model"), limit=4096).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language": op2_language,
@@ -120,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_minhash": op9_minhash,
     "op10_chat": op10_chat,
+    "op12_token_counts": op12_token_counts,
 }
 
 SQL: dict[str, str] = {
