@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepanel.llm import chat, language, leaks, neardup, neighbours, packing, shards, spelling, suffixes, token_counts, urls, warc
+from tidepanel.llm import chat, language, leaks, neardup, neighbours, packing, prefixes, shards, spelling, suffixes, token_counts, urls, warc
 from tidepanel.llm.common import load, new_folder, text_bytes, written
 
 SHARDS = 24
@@ -121,6 +121,14 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_token_counts(docs, "text", packing.tokenizer_path("piece_bpe_32k.model"), limit=4096).drop("text")
 
 
+def op13_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all conversations, each with the first turns of the conversation that its block of 20 begins with."""
+    own = written(prefixes.sequences(load(spark, sf_dir, "conversations")), "conversations")
+    key = F.col("conv_id")
+    shared = F.crc32(key.cast("string").cast("binary")) % 4
+    return prefixes.prefix_trie(prefixes.with_shared_heads(own, shared, key - key % 20, most=3))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language": op2_language,
@@ -134,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
     "op11_spelling": op11_spelling,
     "op12_token_counts": op12_token_counts,
+    "op13_prefixes": op13_prefixes,
 }
 
 SQL: dict[str, str] = {
@@ -235,5 +244,50 @@ WITH RECURSIVE crc AS (
     UNION ALL SELECT formed.word, chain.root FROM chain JOIN formed ON formed.form = chain.word
 )
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
+""",
+    "op13_prefixes": r"""
+WITH crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps
+), convs AS (
+    SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL
+), shares AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_prepend(4294967295, list_transform(
+        range(1, 2 * length(CAST(conv_id AS VARCHAR)), 2), lambda i: CAST('0x' || substring(hex(CAST(conv_id AS VARCHAR)), i, 2) AS BIGINT))),
+        lambda c, b: xor(c // 256, steps[xor(c, b) % 256 + 1])), 4294967295) % 4 AS h
+    FROM convs, crc
+), said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), hashed AS (
+    SELECT conv_id, turn, role, left(sha256(length(role) || ':' || role || text), 32) AS id,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM said
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, id) AS place FROM hashed
+), rebuilt AS (
+    SELECT s.conv_id, 0 AS part, place, id, words FROM shares s JOIN placed p ON p.conv_id = s.base WHERE place <= h
+    UNION ALL SELECT s.conv_id, 1, place, id, words FROM shares s JOIN placed p ON p.conv_id = s.conv_id WHERE place > h
+), begun AS (
+    SELECT conv_id, words, row_number() OVER w AS depth, string_agg(id, '') OVER w AS path
+    FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, place ROWS UNBOUNDED PRECEDING)
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), whole AS (
+    SELECT conv_id, max(depth) AS depth FROM begun GROUP BY conv_id
+), nodes AS (
+    SELECT path, any_value(b.depth) AS depth, any_value(words) AS words, min(b.conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(b.conv_id AS VARCHAR), ',' ORDER BY b.conv_id) FILTER (WHERE b.depth = w.depth), '')) AS ends_sha256
+    FROM begun b JOIN whole w ON w.conv_id = b.conv_id GROUP BY path
+), linked AS (
+    SELECT path, depth, CASE WHEN depth > 0 THEN left(path, 32 * (depth - 1)) END AS above FROM nodes
+), families AS (
+    SELECT above, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY above
+), full_nodes AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN families f ON f.above = n.path
+), sums AS (
+    SELECT left(path, 32 * k) AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM full_nodes) GROUP BY ALL
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+    CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums USING (path) JOIN linked l ON l.path = n.path LEFT JOIN nodes p ON p.path = l.above
 """,
 }
