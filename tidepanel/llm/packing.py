@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.llm.common import fresh, written
-from tidepanel.llm.tokens import Encoder
+from tidepanel.llm.tokens import encoder
 
 CAPACITY = 2048
 #: Pieces of a group, about; a group is packed by one task.
@@ -41,7 +41,7 @@ def pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity: int =
     names = ["key", "piece", "start", "length", "ids_crc32", "uid", *["ids"] * with_ids]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, uid = Encoder(tokenizer), TaskContext.get().partitionId() << 40
+        encoding, uid = encoder(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:
             keys, at = batch.column(0), 0
             while at < batch.num_rows:
@@ -52,7 +52,7 @@ def pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity: int =
                     texts.append(value.as_py() or "")
                     chars += len(texts[-1])
                 rows, whose = [], []
-                for i, ids in enumerate(encoder.encode(texts), at):
+                for i, ids in enumerate(encoding.encode(texts), at):
                     ids += last
                     n, start, piece = len(ids) // 4, 0, 0
                     while start < n:

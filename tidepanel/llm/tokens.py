@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process and file: words that a task learned are known to the next one."""
+    return Encoder(path)
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes, equal to encoding the whole text.
 
@@ -28,7 +36,7 @@ class Encoder:
         self.most, self.known, self.old, self.marks = most, {}, {}, {}
 
     def ids(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
         """Encode new words side by side, one on a line; none holds a line end, so the ids of line ends part them."""
