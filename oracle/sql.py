@@ -148,6 +148,15 @@ WHERE p2 IS NOT NULL"""),
 SELECT *, flag + COALESCE(LAG(flag,1) OVER w,0) + COALESCE(LAG(flag,2) OVER w,0) AS streak
 FROM (SELECT *, CASE WHEN icr < 1.5 THEN 1 ELSE 0 END AS flag FROM cover) WINDOW w AS (PARTITION BY company_id ORDER BY year)"""),
     "shock": (["cover"], f"SELECT *, ebitda/(interest_expense + total_debt*0.5*CAST(0.02 AS DOUBLE)) AS shocked FROM cover WHERE year={LAST_YEAR} AND total_debt IS NOT NULL"),
+    "faulty_firms": (["companies"], """
+SELECT company_id, CASE WHEN company_id % 40 <> 3 THEN ticker END AS ticker, country_id, gics_sector_name, gics_industry_group_name, gics_industry_name, gics_sub_industry_name
+FROM companies WHERE company_id % 10 <> 0 UNION ALL
+SELECT company_id, CASE WHEN company_id % 40 <> 3 THEN ticker END, country_id, gics_sector_name, gics_industry_group_name, gics_industry_name, gics_sub_industry_name
+FROM companies WHERE company_id % 25 = 1"""),
+    "faulty_members": (["membership"], "SELECT * FROM membership UNION ALL SELECT * FROM membership WHERE index_id = 'SPX'"),
+    "faulty_macro": (["macro"], """
+SELECT country_id, indicator_date, bloomberg_ticker, CASE WHEN NOT (country_id = 'JP' AND bloomberg_ticker LIKE '%GDPNOM Index') THEN indicator_name END AS indicator_name FROM macro"""),
+    "faulty_rates": (["rates"], "SELECT CASE WHEN country_id = 'CN' THEN 'XX' ELSE country_id END AS country_id, rate_date, rate_type FROM rates"),
     "ordertext": ([], """
 SELECT o_orderkey, o_totalprice,
   CASE o_orderpriority WHEN '5-LOW' THEN '#N/A' WHEN '4-NOT SPECIFIED' THEN '--' WHEN '2-HIGH' THEN 'pending' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS number_text,
@@ -181,16 +190,66 @@ def sql(needs: str, body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({_CTES[n][1].strip()})" for n in used) + "\n" + body.strip()
 
 
+_MARKETS = "(VALUES ('SPX', 'US'), ('UKX', 'GB')) i(index_id, country_id)"
+# (reference, child, column, parent, parent column)
+_DECLARED = [
+    ("indices.country_id -> countries.country_id", _MARKETS, "country_id", "countries", "country_id"),
+    ("companies.country_id -> countries.country_id", "faulty_firms", "country_id", "countries", "country_id"),
+    ("index_membership.index_id -> indices.index_id", "faulty_members", "index_id", _MARKETS, "index_id"),
+    ("index_membership.company_id -> companies.company_id", "faulty_members", "company_id", "faulty_firms", "company_id"),
+    ("prices_weekly.company_id -> companies.company_id", "prices", "company_id", "faulty_firms", "company_id"),
+    ("financials.company_id -> companies.company_id", "financials", "company_id", "faulty_firms", "company_id"),
+    ("macro_indicators.country_id -> countries.country_id", "faulty_macro", "country_id", "countries", "country_id"),
+    ("interest_rates.country_id -> countries.country_id", "faulty_rates", "country_id", "countries", "country_id"),
+]
+
+
+def _declared_rules() -> str:
+    sectors = "(SELECT DISTINCT gics_sector_name, gics_industry_group_name, gics_industry_name, gics_sub_industry_name FROM companies WHERE gics_sector_name IS NOT NULL)"
+    tables = [  # table, source, key, further unique column, required columns
+        ("countries", "countries", "country_id", None, []), ("indices", _MARKETS, "index_id", None, []), ("gics_sectors", sectors, None, None, []),
+        ("companies", "faulty_firms", "company_id", "ticker", ["ticker"]),
+        ("index_membership", "faulty_members", "index_id, company_id, as_of_date", None, ["index_id", "company_id", "as_of_date"]),
+        ("prices_weekly", "prices", "company_id, price_date", None, ["company_id", "price_date"]),
+        ("financials", "financials", "company_id, period_end_date, period_type", None, ["company_id", "period_end_date", "period_type"]),
+        ("macro_indicators", "faulty_macro", "country_id, indicator_date, bloomberg_ticker", None, ["country_id", "indicator_date", "indicator_name"]),
+        ("interest_rates", "faulty_rates", "country_id, rate_date, rate_type", None, ["country_id", "rate_date", "rate_type"]),
+    ]
+    out = []
+    for name, source, key, unique, required in tables:
+        if key is None:
+            out.append(f"SELECT '{name}' AS table_name, 'unique' AS rule, 'sector_id' AS columns, COUNT(*) AS rows, CAST(0 AS BIGINT) AS violations FROM {source}")
+        for columns in [c for c in (key, unique) if c]:
+            known = " AND ".join(f"{c} IS NOT NULL" for c in columns.split(", "))
+            out.append(f"SELECT '{name}' AS table_name, 'unique' AS rule, '{columns}' AS columns, COUNT(*) AS rows, "
+                       f"COUNT(*) FILTER ({known}) - COUNT(DISTINCT ({columns})) FILTER ({known}) AS violations FROM {source}")
+        out += [f"SELECT '{name}', 'not_null', '{c}', COUNT(*), COUNT(*) FILTER ({c} IS NULL) FROM {source}" for c in required]
+    return "\nUNION ALL ".join(out)
+
+
 _HHI = f"""
 SELECT year, {rnd('hhi', 2)} AS hhi_index, num_members, {rnd('sw/num_members', 2)} AS avg_weight_pct, {rnd('mw', 2)} AS largest_weight_pct,
   {rnd('10000.0/hhi', 1)} AS effective_positions,
   CASE WHEN hhi < 1500 THEN 'Unconcentrated' WHEN hhi < 2500 THEN 'Moderately Concentrated' ELSE 'Highly Concentrated' END AS concentration_level
 FROM (SELECT year, CAST(SUM(weight*weight) AS DOUBLE) AS hhi, COUNT(*) AS num_members, CAST(SUM(weight) AS DOUBLE) AS sw, CAST(MAX(weight) AS DOUBLE) AS mw
       FROM ukx WHERE weight IS NOT NULL GROUP BY year)"""
+_CHURN = """
+SELECT y.year, COUNT(*) FILTER (c.status='ENTRY') AS entries, COUNT(*) FILTER (c.status='EXIT') AS exits
+FROM (SELECT DISTINCT year FROM ukx) y LEFT JOIN changes c ON c.year=y.year GROUP BY 1"""
+_ROLLING = f"SELECT company_id, year, {rnd('mean_growth', 6)} AS mean_growth, {rnd('vol', 6)} AS volatility FROM rollvol"
 _TOP10 = "SELECT *, ROW_NUMBER() OVER (PARTITION BY year ORDER BY weight DESC, company_id) AS rank FROM ukx WHERE weight IS NOT NULL"
 _RETURNS = "SELECT year(price_date) AS year, AVG(total_return) AS r FROM prices p JOIN ukx m ON p.company_id=m.company_id AND year(p.price_date)=m.year GROUP BY 1"
 
 
+def _merged(first: str, other: str) -> str:
+    """Weekly units and lines of two deliveries; of a key in both the row of the first one named counts."""
+    group = "SELECT l_suppkey AS company_id, friday AS price_date, CAST(SUM(q) AS BIGINT) AS quantity, COUNT(*) AS lines FROM li WHERE {} GROUP BY 1, 2"
+    return sql("li", f"""SELECT * FROM (
+  SELECT * FROM ({group.format('l_linenumber <= 4' if first == 'a' else 'l_linenumber >= 3')})
+  UNION ALL SELECT * FROM ({group.format('l_linenumber <= 4' if other == 'a' else 'l_linenumber >= 3')}) o
+  WHERE NOT EXISTS (SELECT 1 FROM li WHERE l_suppkey = o.company_id AND friday = o.price_date AND {'l_linenumber <= 4' if first == 'a' else 'l_linenumber >= 3'}))""")
+
+
 def _lines_kept(direction: str) -> str:
     order = ", ".join(f"{c} {direction}" for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
     return f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
@@ -250,6 +309,13 @@ LEFT JOIN (VALUES ('US','SPX','S&P 500'),('GB','UKX','FTSE 100')) i(country_id,
 LEFT JOIN (SELECT country_id, COUNT(*) AS companies FROM companies GROUP BY 1) n ON c.country_id=n.country_id"""),
     "dedup_first_wins": _lines_kept("ASC"),
     "dedup_last_wins": _lines_kept("DESC"),
+    "merge_first_wins": _merged("a", "b"),
+    "merge_last_wins": _merged("b", "a"),
+    "assign_keys_incremental": sql("companies", """
+SELECT ticker, ROW_NUMBER() OVER (ORDER BY company_id % 3 = 0, ticker) AS company_key FROM companies"""),
+    "incremental_hhi": sql("ukx", _HHI),
+    "incremental_churn": sql("ukx changes", _CHURN),
+    "incremental_volatility": sql("rollvol", _ROLLING),
     "clean_null_tokens": sql("ordertext", "SELECT o_orderkey, label FROM ordertext"),
     "clean_numeric": sql("orderparsed", "SELECT o_orderkey, number FROM orderparsed"),
     "parse_dates_multi": sql("orderparsed", "SELECT o_orderkey, parsed_date FROM orderparsed"),
@@ -278,6 +344,10 @@ UNION ALL SELECT 'customer.c_custkey', COUNT(DISTINCT c_custkey), COUNT(*) FROM
 UNION ALL SELECT 'lineitem.l_partkey', COUNT(DISTINCT l_partkey), COUNT(*) FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey=l_partkey)
 UNION ALL SELECT 'lineitem.l_suppkey', COUNT(DISTINCT l_suppkey), COUNT(*) FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM ukx WHERE company_id=l_suppkey)
 UNION ALL SELECT 'events.user_id', COUNT(DISTINCT user_id), COUNT(*) FROM events WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey=user_id)"""),
+    "dq_declared_rules": sql("faulty_firms faulty_members faulty_macro faulty_rates prices financials countries", _declared_rules()),
+    "dq_declared_references": sql("faulty_firms faulty_members faulty_macro faulty_rates prices financials countries", "\nUNION ALL ".join(
+        f"SELECT '{name}' AS reference, COUNT(DISTINCT {c}) AS orphan_keys, COUNT({c}) AS orphan_rows FROM {child} WHERE {c} NOT IN (SELECT {pc} FROM {parent})"
+        for name, child, c, parent, pc in _DECLARED)),
     "dq_rejects": sql("orderparsed", """
 SELECT COUNT(number) AS number_text_parsed, SUM(CASE WHEN number IS NULL AND NOT missing THEN 1 ELSE 0 END)::BIGINT AS number_text_rejected,
   COUNT(parsed_date) AS date_text_parsed, SUM(CASE WHEN parsed_date IS NULL THEN 1 ELSE 0 END)::BIGINT AS date_text_rejected FROM orderparsed"""),
@@ -345,7 +415,7 @@ SELECT f.country_id, f.year, f.firms, p.gdp_phase FROM (SELECT country_id, year,
     "join_period_align": sql("qgrowth housing", f"""
 SELECT f.country_id, year(f.qs) || '-Q' || quarter(f.qs) AS year_quarter, f.firms, {rnd('f.revenue', 2)} AS mean_revenue, {rnd('h.starts', 6)} AS housing_starts
 FROM (SELECT country_id, qs, COUNT(*) AS firms, AVG(revenue) AS revenue FROM qgrowth GROUP BY 1, 2) f JOIN housing h ON f.country_id=h.country_id AND f.qs=h.qs"""),
-    "rolling_window_range": sql("rollvol", f"SELECT company_id, year, {rnd('mean_growth', 6)} AS mean_growth, {rnd('vol', 6)} AS volatility FROM rollvol"),
+    "rolling_window_range": sql("rollvol", _ROLLING),
     "join_on_period_expr": sql("prices ukx", f"SELECT year, {rnd('r', 6)} AS avg_weekly_return FROM ({_RETURNS})"),
     "join_exact_date": sql("sectoryield", f"SELECT price_date, gics_sector_name, {rnd('r', 6)} AS sector_return, {rnd('chg', 6)} AS yield_change FROM sectoryield"),
     "latest_per_entity": sql("prices", f"SELECT p.company_id, p.price_date, {rnd('p.close_price', 6)} AS close_price FROM prices p JOIN (SELECT company_id, MAX(price_date) AS d FROM prices GROUP BY 1) l ON p.company_id=l.company_id AND p.price_date=l.d"),
@@ -461,9 +531,7 @@ FROM (SELECT gics_sector_name, COUNT(*) AS weeks, AVG(r) AS ar, AVG(chg) AS ac,
     # variants
     "q_v_uc1_q1_export": sql("ukx", f"SELECT year, CAST(SUM(weight) AS DOUBLE) AS top10_weight_pct, COUNT(*) AS top10_count FROM ({_TOP10}) WHERE rank <= 10 GROUP BY 1"),
     "q_v_uc1_q2_export": sql("ukx", _HHI),
-    "q_v_uc1_q3_pivot": sql("ukx changes", """
-SELECT y.year, COUNT(*) FILTER (c.status='ENTRY') AS entries, COUNT(*) FILTER (c.status='EXIT') AS exits
-FROM (SELECT DISTINCT year FROM ukx) y LEFT JOIN changes c ON c.year=y.year GROUP BY 1"""),
+    "q_v_uc1_q3_pivot": sql("ukx changes", _CHURN),
     "q_v_uc2_q1_export": sql("debtratio", _leverage(False)),
     "q_v_uc2_q2_by_sector": sql("debtratio", """
 SELECT year, gics_sector_name, COUNT(*) AS deleveraging_companies, COUNT(*) AS count_by_sector

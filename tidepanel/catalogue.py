@@ -16,9 +16,9 @@ from tidepanel import schemas
 from tidepanel.functions import aggregates as A
 from tidepanel.functions import cleaning, periods
 from tidepanel.functions import scalars as S
-from tidepanel.operators import dedup, joins, panel, quality, ranking
-from tidepanel.plans import concentration, cycles, extensions, leverage, macro, regimes, solvency, views
-from tidepanel.sources import files, grids, star_raw
+from tidepanel.operators import dedup, joins, panel, quality, ranking, registry
+from tidepanel.plans import concentration, cycles, extensions, incremental, leverage, macro, regimes, solvency, views
+from tidepanel.sources import files, grids, star_raw, store
 from tidepanel.sources.star import Star
 
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -98,6 +98,84 @@ def dedup_last_wins(s):
     return kept.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
+def _weekly_deliveries(s):
+    """Units and lines per company and week in two deliveries that share many keys."""
+    lines = s.table("lineitem")
+
+    def delivery(part):
+        day = F.date_add(F.trunc(F.col("l_shipdate").cast("date"), "week"), 4)
+        return lines.where(part).groupBy(F.col("l_suppkey").alias("company_id"), day.alias("price_date")).agg(
+            F.sum(F.col("l_quantity").cast("long")).alias("quantity"), F.count("*").alias("lines"))
+
+    return {"first": delivery(F.col("l_linenumber") <= 4), "second": delivery(F.col("l_linenumber") >= 3)}
+
+
+def _merged(s, merge):
+    """Both deliveries merged into a stored table, the second one twice, as after a job that was run again."""
+    deliveries = _weekly_deliveries(s)
+    table = store.scratch_folder(s.spark, "prices_weekly")
+    store.create(s.spark, table, deliveries["first"].schema)
+    for name in ("first", "second", "second"):
+        merge(s.spark, table, deliveries[name], schemas.KEYS["prices_weekly"], F.year("price_date"), [F.col("lines")], name)
+    return store.read(s.spark, table)
+
+
+@query
+def merge_first_wins(s):
+    return _merged(s, store.merge_first_wins)
+
+
+@query
+def merge_last_wins(s):
+    return _merged(s, store.merge_last_wins)
+
+
+@query
+def assign_keys_incremental(s):
+    firms, table = s.companies().select("ticker", "company_id"), store.scratch_folder(s.spark, "company_keys")
+    registry.assign_keys(s.spark, table, firms.where("company_id % 3 != 0"), "ticker", "company_key", "first")
+    return registry.assign_keys(s.spark, table, firms, "ticker", "company_key", "second")
+
+
+def _appended(s, inputs, horizon, study):
+    """A stored study over all periods but the last, brought up to date when the last one is appended."""
+    table = store.scratch_folder(s.spark, "study")
+    last = F.col("year") == inputs.agg(F.max("year").alias("year")).scalar()
+    incremental.refresh_stored(s.spark, table, inputs.where(~last), inputs, horizon, study, "before")
+    return incremental.refresh_stored(s.spark, table, inputs, inputs.where(last), horizon, study, "appended")
+
+
+@query
+def incremental_hhi(s):
+    members = s.membership().withColumn("year", F.year("as_of_date"))
+    return _appended(s, members, incremental.CONCENTRATION, concentration.hhi)
+
+
+@query
+def incremental_churn(s):
+    members = s.membership().withColumn("year", F.year("as_of_date"))
+    final = members.agg(F.max("year").alias("year"))
+
+    def churn(rows):
+        return concentration.churn_counts(rows, last_year=final.scalar())
+
+    return _appended(s, members, incremental.CHURN, churn)
+
+
+def _rolling_volatility(financials):
+    rows = panel.with_growth(financials, "company_id", "period_end_date", "revenue", "growth")
+    rows = panel.with_rolling(rows, "company_id", "year", "growth", WINDOW)
+    return rows.where(F.col("roll_count") == WINDOW).select(
+        "company_id", "year", F.round("roll_mean", 6).alias("mean_growth"), F.round("roll_std", 6).alias("volatility")
+    )
+
+
+@query
+def incremental_volatility(s):
+    rows = s.financials("ANNUAL").select("company_id", "period_end_date", "revenue", F.year("period_end_date").alias("year"))
+    return _appended(s, rows, incremental.rolling(("company_id",), WINDOW), _rolling_volatility)
+
+
 @query
 def clean_null_tokens(s):
     return star_raw.order_texts(s).select("o_orderkey", cleaning.null_if_token("label_text").alias("label"))
@@ -213,6 +291,34 @@ def dq_orphans(s):
     return out
 
 
+def _faulty_delivery(s):
+    """The declared tables as a faulty delivery has them: companies missing, repeated and without ticker, members
+    repeated, an indicator without a name and a country that isn't known."""
+    firms = s.companies().withColumn("ticker", F.when(F.col("company_id") % 40 != 3, F.col("ticker")))
+    levels = ["gics_sector_name", "gics_industry_group_name", "gics_industry_name", "gics_sub_industry_name"]
+    sectors = firms.where(F.col("gics_sector_name").isNotNull()).groupBy(*levels).agg(F.min("company_id").alias("sector_id"))
+    members, macro, rates = s.membership(), s.macro(), s.rates()
+    nameless = (F.col("country_id") == "JP") & F.col("bloomberg_ticker").endswith("GDPNOM Index")
+    return {
+        "countries": schemas.countries(s.spark), "indices": schemas.indices(s.spark), "gics_sectors": sectors,
+        "companies": firms.where("company_id % 10 != 0").unionByName(firms.where("company_id % 25 = 1")),
+        "index_membership": members.unionByName(members.where("index_id = 'SPX'")),
+        "prices_weekly": s.prices(), "financials": s.financials(),
+        "macro_indicators": macro.withColumn("indicator_name", F.when(~nameless, F.col("indicator_name"))),
+        "interest_rates": rates.withColumn("country_id", F.when(F.col("country_id") == "CN", F.lit("XX")).otherwise(F.col("country_id"))),
+    }
+
+
+@query
+def dq_declared_rules(s):
+    return quality.constraint_report(_faulty_delivery(s))
+
+
+@query
+def dq_declared_references(s):
+    return quality.reference_report(_faulty_delivery(s))
+
+
 @query
 def dq_rejects(s):
     raw = star_raw.order_texts(s)
@@ -440,11 +546,7 @@ def membership_entries(s):
 
 @query
 def rolling_window_range(s):
-    rows = panel.with_growth(s.financials("ANNUAL"), "company_id", "period_end_date", "revenue", "growth")
-    rows = panel.with_rolling(rows.withColumn("year", F.year("period_end_date")), "company_id", "year", "growth", WINDOW)
-    return rows.where(F.col("roll_count") == WINDOW).select(
-        "company_id", "year", F.round("roll_mean", 6).alias("mean_growth"), F.round("roll_std", 6).alias("volatility")
-    )
+    return _rolling_volatility(s.financials("ANNUAL").withColumn("year", F.year("period_end_date")))
 
 
 @query

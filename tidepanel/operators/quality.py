@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepanel import schemas
 from tidepanel.functions.cleaning import is_reject
+from tidepanel.operators.joins import orphans
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -34,6 +36,48 @@ def key_report(df: DataFrame, key: Sequence[str], table: str) -> DataFrame:
     ).select(F.lit(table).alias("table_name"), "*")
 
 
+def _constraints(df: DataFrame, table: str, key: Sequence[str], required: Sequence[str]) -> DataFrame:
+    """Rows, violations of a unique key and NULLs of required columns, from one grouping by the key."""
+    others = [c for c in required if c not in key]
+    null = lambda c: F.col(c).isNull()
+    per_key = df.groupBy(*key).agg(F.count("*").alias("n"), *[F.count_if(null(c)).alias(f"_{c}") for c in others])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    no_null = reduce(lambda a, b: a & b, [~null(c) for c in key])
+    rules = [("unique", ", ".join(key), total(F.when(no_null, F.col("n") - 1)))]
+    rules += [("not_null", c, total(F.when(null(c), F.col("n"))) if c in key else total(f"_{c}")) for c in required]
+    sums = per_key.agg(total("n").alias("rows"), *[v.alias(f"v{i}") for i, (_, _, v) in enumerate(rules)])
+    each = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("columns"), F.col(f"v{i}").alias("violations")) for i, (r, c, _) in enumerate(rules)])
+    return sums.select(F.lit(table).alias("table_name"), "rows", F.inline(each)).select("table_name", "rule", "columns", "rows", "violations")
+
+
+def constraint_report(
+    tables: dict[str, DataFrame], keys: dict[str, list[str]] = schemas.KEYS,
+    not_null: dict[str, list[str]] = schemas.NOT_NULL, unique: dict[str, list[list[str]]] = schemas.UNIQUE,
+) -> DataFrame:
+    """Every declared key and NOT NULL rule: ``table_name, rule, columns, rows, violations``.
+
+    A violation of a key is a row beyond the first of its key; NULLs never clash. A table's key and NULL rules share
+    one grouping, which combines map-side, so a repeated key costs a row per task; a further unique column has its own."""
+    parts = []
+    for name, df in tables.items():
+        parts.append(_constraints(df, name, keys[name], not_null.get(name, [])))
+        parts += [_constraints(df, name, columns, []) for columns in unique.get(name, [])]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def reference_report(
+    tables: dict[str, DataFrame], references: Sequence[tuple[str, str, str, str]] = schemas.REFERENCES,
+) -> DataFrame:
+    """Every declared reference: ``reference, orphan_keys, orphan_rows``. A child's keys are counted before they meet
+    the parent, so a hot key is one row there; NULL references nothing."""
+    parts = []
+    for child, column, parent, parent_key in references:
+        lost = orphans(tables[child], column, tables[parent], parent_key)
+        parts.append(lost.agg(F.count("*").alias("orphan_keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows")).select(
+            F.lit(f"{child}.{column} -> {parent}.{parent_key}").alias("reference"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def reject_report(df: DataFrame, parsed: dict[str, Column]) -> DataFrame:
     """Per raw column: values, unusable values (a text that carries a value but did not parse)."""
     aggs = []

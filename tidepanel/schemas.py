@@ -72,6 +72,9 @@ NOT_NULL = {
     "interest_rates": ["country_id", "rate_date", "rate_type"],
 }
 
+# Unique columns beside the key.
+UNIQUE = {"companies": [["ticker"]]}
+
 # (child table, child column, parent table, parent column)
 REFERENCES = [
     ("indices", "country_id", "countries", "country_id"),

@@ -194,6 +194,25 @@ def merge_last_wins(spark: SparkSession, table: str, delivery: DataFrame, key: S
     return _merge(spark, table, delivery, key, partition, [c.desc() for c in order], name, replacing=True)
 
 
+def refresh(spark: SparkSession, table: str, rows: DataFrame, stale: DataFrame, on: Sequence[str], partition: Column, name: str) -> Version:
+    """Replace what is stored for the ``stale`` values of the ``on`` columns by ``rows``; without rows it is gone.
+
+    ``partition`` follows from ``on`` columns alone. Other partitions aren't read or written."""
+    version = current(spark, table)
+    if version is None:
+        raise ValueError(f"no version of {table}")
+    if name in version.deliveries:
+        return version
+    number = F.coalesce(partition.cast("long"), F.lit(NO_PART))
+    new = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in version.schema]).withColumn(PART, number)
+    touched = _touched(stale.select(number.alias(PART)).union(new.select(PART)))
+    kept = _rows(spark, version, touched).withColumn(PART, number).join(stale.select(*on), list(on), "left_anti").select(*new.columns)
+    written = _write(kept.unionByName(new), table, name)
+    parts = {p: folders for p, folders in version.parts.items() if p not in touched} | {p: [folder] for p, folder in written.items()}
+    done = {**version.deliveries, name: {"partitions": len(written), "version": version.number + 1}}
+    return _publish(spark, table, replace(version, number=version.number + 1, parts=parts, deliveries=done))
+
+
 def compacted(spark: SparkSession, table: str) -> Version:
     """Partitions that grew by several deliveries as one folder each; the rows stay the same."""
     version = current(spark, table)
