@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
 
+#: Words that can't be encoded apart: empty ones, and where white space meets white space or an end of the text.
+ODD = re.compile(r"\A\Z|\A \Z|\s\Z|\A.\s|\A[^\S ]", re.S)
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -84,16 +88,18 @@ class Encoder:
         for text in texts:
             words = [line.replace(" ", "\x00 ").split("\x00") for line in text.split("\n")] if "\x00" not in text else [[""]]
             lines.append(words)
-        new = {w for words in lines for line in words for w in line if w not in self.known}
-        plain = {w for w in new if w and w[-1] > " " and not w[-1].isspace() and not (w[1:2] or w).isspace() and not (
-            w[0] != " " and w[0].isspace())}
-        if plain:
-            self.add(plain)
-        odd = new - plain
-        known, end, out = self.known, self.line_end, []
+        new: set[str] = set()
+        for words in lines:
+            for line in words:
+                new.update(line)
+        new.difference_update(self.known.keys() & new)
+        odd = {w for w in new if ODD.search(w)}
+        if len(odd) < len(new):
+            self.add(new - odd)
+        known, end, out = self.known.__getitem__, self.line_end, []
         for text, words in zip(texts, lines):
-            if odd and any(w in odd for line in words for w in line):
+            if odd and any(not odd.isdisjoint(line) for line in words):
                 out.append(self.ids(text))
             else:
-                out.append(end.join([b"".join([known[w] for w in line]) for line in words]))
+                out.append(end.join([b"".join(map(known, line)) for line in words]))
         return out
