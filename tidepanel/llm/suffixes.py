@@ -28,9 +28,9 @@ WINDOWS = SPAN - GRAM + 1
 #: Bytes of text, about, whose anchors are settled among themselves before they are shuffled.
 FIND_BYTES = 1 << 24
 #: Stretches of text in a task's index family, about, and in one batch of it.
-TASK_STRETCHES, BATCH_STRETCHES = 20_000, 2_048
+TASK_STRETCHES, BATCH_STRETCHES = 6_000, 1_024
 #: From so many different stretches of one gram on, each of its strings is dealt out by its own bytes.
-HOT = 20_000
+HOT = 6_000
 
 _rng = np.random.default_rng(20240507)
 _BYTE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -165,7 +165,10 @@ def with_order(docs: DataFrame, key: str, text: str) -> DataFrame:
     if total == known:
         distinct = rows.groupBy("id").count().where("count > 1").limit(1).count()
     plain = total == known and not distinct
-    return rows.withColumn("uid", F.lit(0).cast("long") if plain else F.monotonically_increasing_id())
+    if plain:
+        return rows.withColumn("uid", F.lit(0).cast("long"))
+    # Written once: another scan may be split in other ways, and would give its rows other numbers.
+    return written(rows.withColumn("uid", F.monotonically_increasing_id()), "numbered")
 
 
 def marked(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
