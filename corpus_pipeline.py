@@ -45,7 +45,8 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8): the least id, without ids the first in the scan."""
     rows, names, key, text = keyed(docs)
-    rows = rows.withColumn("_uid", F.monotonically_increasing_id())
+    # Written once: several jobs read the numbers, and a scan that is split in another way would give others.
+    rows = written(rows.withColumn("_uid", F.monotonically_increasing_id()), "numbered")
     groups = neardup.near_duplicates(rows, "_uid", text, words=5, percent=80).select(F.col("id").alias("_uid"), "component_id")
     first = rows.select("_uid", key).join(groups, "_uid").groupBy("component_id").agg(
         F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "_uid")).alias("first"))
