@@ -237,6 +237,21 @@ _CHURN = """
 SELECT y.year, COUNT(*) FILTER (c.status='ENTRY') AS entries, COUNT(*) FILTER (c.status='EXIT') AS exits
 FROM (SELECT DISTINCT year FROM ukx) y LEFT JOIN changes c ON c.year=y.year GROUP BY 1"""
 _ROLLING = f"SELECT company_id, year, {rnd('mean_growth', 6)} AS mean_growth, {rnd('vol', 6)} AS volatility FROM rollvol"
+_ASOF = """
+SELECT p.company_id, p.price_date, f.available_date AS asof_available_date, f.period_type, f.period_end_date, f.revenue
+FROM prices p ASOF LEFT JOIN (SELECT *, period_end_date + CASE WHEN period_type='ANNUAL' THEN 75 ELSE 45 END AS available_date FROM financials) f
+ON p.company_id=f.company_id AND p.price_date >= f.available_date"""
+_SENSITIVE = f"""
+SELECT company_name, gics_sector_name, country_id, years AS total_years_data, {rnd('mean_icr', 2)} AS avg_icr_recent_5y, {rnd('corr', 4)} AS correlation_with_policy_rate,
+  CASE WHEN corr < -0.3 THEN 'Highly Rate-Sensitive' WHEN corr < 0 THEN 'Moderately Rate-Sensitive' WHEN corr < 0.3 THEN 'Rate-Insulated' ELSE 'Positively Correlated' END AS rate_sensitivity_classification
+FROM rollcorr r JOIN (SELECT company_id, MAX(year) AS y FROM rollcorr GROUP BY 1) l ON r.company_id=l.company_id AND r.year=l.y
+JOIN (SELECT company_id, ANY_VALUE(company_name) AS company_name, ANY_VALUE(gics_sector_name) AS gics_sector_name, ANY_VALUE(country_id) AS country_id, COUNT(DISTINCT year) AS years FROM coverrate GROUP BY 1) c ON r.company_id=c.company_id
+WHERE years >= {RATE_YEARS} AND corr IS NOT NULL ORDER BY corr, r.company_id"""
+_GEO = f"""
+SELECT c.country_id, total_companies, zombie_count, {rnd('zombie_count*100.0/total_companies', 1)} AS zombie_pct, {rnd('debt/1000000', 2)} AS zombie_debt_bn,
+  {rnd('gdp', 0)} AS country_gdp_bn, {rnd('debt/1000000/NULLIF(gdp,0)*100', 2)} AS zombie_debt_pct_gdp
+FROM (SELECT country_id, COUNT(*) AS total_companies, SUM(CASE WHEN icr < 1.5 THEN 1 ELSE 0 END)::BIGINT AS zombie_count, SUM(CASE WHEN icr < 1.5 THEN total_debt ELSE 0 END) AS debt FROM cover WHERE year={LAST_YEAR} GROUP BY 1) c
+LEFT JOIN (SELECT country_id, AVG(indicator_value) AS gdp FROM macro WHERE indicator_name ILIKE '%Nominal GDP%bn%' AND year(indicator_date)={LAST_YEAR} GROUP BY 1) g ON c.country_id=g.country_id"""
 _TOP10 = "SELECT *, ROW_NUMBER() OVER (PARTITION BY year ORDER BY weight DESC, company_id) AS rank FROM ukx WHERE weight IS NOT NULL"
 _RETURNS = "SELECT year(price_date) AS year, AVG(total_return) AS r FROM prices p JOIN ukx m ON p.company_id=m.company_id AND year(p.price_date)=m.year GROUP BY 1"
 
@@ -293,9 +308,19 @@ SELECT index_id, as_of_date, ticker, company_name AS name, CAST(weight AS DOUBLE
 SELECT company_id, price_date, value AS close_price, CASE WHEN (company_id + date_diff('day', DATE '1970-01-02', price_date)) % 5 <> 0 THEN quantity END AS total_return
 FROM weekly WHERE (company_id + date_diff('day', DATE '1970-01-02', price_date)) % 11 <> 0"""),
     "ingest_wide_fields": sql("annual", f"SELECT company_id, period_end_date, period_type, {', '.join(_MEASURES)} FROM annual"),
-    "ingest_month_columns": sql("monthly", """
-SELECT country_id, m AS indicator_date, 'Nominal GDP (USD bn)' AS indicator_name, country_id || 'GDPNOM Index' AS bloomberg_ticker, v AS indicator_value, 'GDP' AS indicator_category FROM monthly
-UNION ALL SELECT country_id, m, 'Housing Starts (Units)', country_id || 'HOUSST Index', CAST(urgent AS DOUBLE), 'Housing' FROM monthly"""),
+    "ingest_month_columns": sql("macro", f"""
+SELECT country_id, indicator_date, indicator_name, bloomberg_ticker, indicator_category,
+  CASE WHEN indicator_name ILIKE 'Nominal%' THEN {rnd('indicator_value * 1000000', 2)} WHEN indicator_name ILIKE 'Housing%' THEN indicator_value ELSE {rnd('indicator_value', 6)} END AS indicator_value
+FROM macro"""),
+    "ingest_text_cells": sql("weekrates", """
+SELECT DISTINCT date_diff('day', DATE '1994-12-30', rate_date) // 7 + 6 AS row_no, 0 AS col_no, CAST(rate_date AS VARCHAR) AS value FROM weekrates
+UNION ALL SELECT date_diff('day', DATE '1994-12-30', rate_date) // 7 + 6, list_position(['US','GB','DE','JP','CN'], country_id) + k,
+  CASE WHEN x = 0 THEN 'N/A' ELSE format('{:,}', CAST(x AS BIGINT)) END
+FROM (SELECT rate_date, country_id, 0 AS k, tax AS x FROM weekrates UNION ALL SELECT rate_date, country_id, 5, disc FROM weekrates)"""),
+    "ingest_text_companies": sql("companies", """
+SELECT ticker, CASE WHEN company_id % 5 = 0 THEN company_name || chr(10) || 'formerly "' || ticker || '"' ELSE company_name END AS company_name,
+  country_id, currency, gics_sector_name, gics_sub_industry_name, cap AS current_market_cap FROM companies
+UNION ALL SELECT 'TICKER', 'NAME', 'CO', 'CRNCY', 'GICS_SECTOR_NAME', 'GICS_SUB_INDUSTRY_NAME', NULL"""),
     "ingest_rate_columns": sql("weekrates", """
 SELECT w.country_id, rate_date, k.rate_type, k.ticker AS bloomberg_ticker, CAST(CASE WHEN k.rate_type='10Y_YIELD' THEN tax ELSE disc END AS DOUBLE) AS rate_value
 FROM weekrates w JOIN (VALUES ('US','10Y_YIELD','USGG10YR Index'),('GB','10Y_YIELD','GTGBP10Y Govt'),('DE','10Y_YIELD','GTDEM10Y Govt'),('JP','10Y_YIELD','GTJPY10Y Govt'),('CN','10Y_YIELD','GTCNY10Y Govt'),
@@ -348,6 +373,18 @@ UNION ALL SELECT 'events.user_id', COUNT(DISTINCT user_id), COUNT(*) FROM events
     "dq_declared_references": sql("faulty_firms faulty_members faulty_macro faulty_rates prices financials countries", "\nUNION ALL ".join(
         f"SELECT '{name}' AS reference, COUNT(DISTINCT {c}) AS orphan_keys, COUNT({c}) AS orphan_rows FROM {child} WHERE {c} NOT IN (SELECT {pc} FROM {parent})"
         for name, child, c, parent, pc in _DECLARED)),
+    "load_rejects": sql("membership companies weekly quarterly weekrates monthly macro", """
+SELECT 'index_membership' AS loader, 'unknown_ticker' AS reason, COUNT(*) AS rejected FROM membership WHERE company_id % 7 = 0
+UNION ALL SELECT 'index_membership', 'bad_date', COUNT(*) FROM membership WHERE company_id % 13 = 0
+UNION ALL SELECT loader, 'unknown_ticker', COUNT(*) FROM companies, (VALUES ('prices_weekly'), ('financials')) l(loader) WHERE company_id % 7 = 0 GROUP BY 1
+UNION ALL SELECT 'prices_weekly', 'bad_number', COUNT(*) FROM (SELECT date_diff('day', DATE '1994-12-30', price_date) // 7 + 6 AS r, company_id * 2 + k AS c FROM weekly, (VALUES (1), (2)) v(k)) WHERE (r + c) % 97 = 0
+UNION ALL SELECT 'prices_weekly', 'bad_date', COUNT(DISTINCT price_date) FROM weekly WHERE (date_diff('day', DATE '1994-12-30', price_date) // 7 + 6) % 50 = 0
+UNION ALL SELECT 'financials', 'bad_number', COUNT(*) FROM (SELECT (year(period_end_date) - 1995) * 4 + quarter(period_end_date) - 1 + 6 AS r, company_id * 7 + k AS c FROM quarterly, (SELECT unnest(range(1, 8)) AS k)) WHERE (r + c) % 97 = 0
+UNION ALL SELECT 'financials', 'bad_date', COUNT(DISTINCT period_end_date) FROM quarterly WHERE ((year(period_end_date) - 1995) * 4 + quarter(period_end_date) - 1 + 6) % 50 = 0 HAVING COUNT(*) > 0
+UNION ALL SELECT 'macro_indicators', 'bad_number', COUNT(*) FROM macro WHERE (date_diff('month', indicator_date, DATE '2001-12-01') + 2) % 17 = 0
+UNION ALL SELECT 'interest_rates', 'bad_number', COUNT(*) FROM (SELECT date_diff('day', DATE '1994-12-30', rate_date) // 7 + 6 AS r, list_position(['US','GB','DE','JP','CN'], country_id) + k AS c
+  FROM weekrates, (VALUES (0), (5)) v(k)) WHERE (r + c) % 97 = 0
+UNION ALL SELECT 'interest_rates', 'bad_date', COUNT(DISTINCT rate_date) FROM weekrates WHERE (date_diff('day', DATE '1994-12-30', rate_date) // 7 + 6) % 50 = 0"""),
     "dq_rejects": sql("orderparsed", """
 SELECT COUNT(number) AS number_text_parsed, SUM(CASE WHEN number IS NULL AND NOT missing THEN 1 ELSE 0 END)::BIGINT AS number_text_rejected,
   COUNT(parsed_date) AS date_text_parsed, SUM(CASE WHEN parsed_date IS NULL THEN 1 ELSE 0 END)::BIGINT AS date_text_rejected FROM orderparsed"""),
@@ -416,6 +453,7 @@ SELECT f.country_id, f.year, f.firms, p.gdp_phase FROM (SELECT country_id, year,
 SELECT f.country_id, year(f.qs) || '-Q' || quarter(f.qs) AS year_quarter, f.firms, {rnd('f.revenue', 2)} AS mean_revenue, {rnd('h.starts', 6)} AS housing_starts
 FROM (SELECT country_id, qs, COUNT(*) AS firms, AVG(revenue) AS revenue FROM qgrowth GROUP BY 1, 2) f JOIN housing h ON f.country_id=h.country_id AND f.qs=h.qs"""),
     "rolling_window_range": sql("rollvol", _ROLLING),
+    "rolling_window_sliced": sql("rollvol", _ROLLING),
     "join_on_period_expr": sql("prices ukx", f"SELECT year, {rnd('r', 6)} AS avg_weekly_return FROM ({_RETURNS})"),
     "join_exact_date": sql("sectoryield", f"SELECT price_date, gics_sector_name, {rnd('r', 6)} AS sector_return, {rnd('chg', 6)} AS yield_change FROM sectoryield"),
     "latest_per_entity": sql("prices", f"SELECT p.company_id, p.price_date, {rnd('p.close_price', 6)} AS close_price FROM prices p JOIN (SELECT company_id, MAX(price_date) AS d FROM prices GROUP BY 1) l ON p.company_id=l.company_id AND p.price_date=l.d"),
@@ -493,12 +531,7 @@ LEFT JOIN gdp g ON t.year=g.year AND g.country_id='GB'"""),
     "q_uc2_q2_deleveraging": sql("decline phase", f"""
 SELECT d.year, p.gdp_phase, COUNT(*) AS total_companies, CAST(SUM(falling) AS BIGINT) AS deleveraging_companies, {rnd('SUM(falling)*100.0/COUNT(*)', 1)} AS deleveraging_pct
 FROM decline d LEFT JOIN phase p ON d.year=p.year AND d.country_id=p.country_id GROUP BY 1, 2"""),
-    "q_uc2_q3_rate_sensitivity": sql("rollcorr coverrate", f"""
-SELECT company_name, gics_sector_name, country_id, years AS total_years_data, {rnd('mean_icr', 2)} AS avg_icr_recent_5y, {rnd('corr', 4)} AS correlation_with_policy_rate,
-  CASE WHEN corr < -0.3 THEN 'Highly Rate-Sensitive' WHEN corr < 0 THEN 'Moderately Rate-Sensitive' WHEN corr < 0.3 THEN 'Rate-Insulated' ELSE 'Positively Correlated' END AS rate_sensitivity_classification
-FROM rollcorr r JOIN (SELECT company_id, MAX(year) AS y FROM rollcorr GROUP BY 1) l ON r.company_id=l.company_id AND r.year=l.y
-JOIN (SELECT company_id, ANY_VALUE(company_name) AS company_name, ANY_VALUE(gics_sector_name) AS gics_sector_name, ANY_VALUE(country_id) AS country_id, COUNT(DISTINCT year) AS years FROM coverrate GROUP BY 1) c ON r.company_id=c.company_id
-WHERE years >= {RATE_YEARS} AND corr IS NOT NULL ORDER BY corr, r.company_id LIMIT 50"""),
+    "q_uc2_q3_rate_sensitivity": sql("rollcorr coverrate", _SENSITIVE + " LIMIT 50"),
     "q_uc3_q1_zombies": sql("streaks trend", f"""
 SELECT z.year, z.country_id, COUNT(*) AS total_companies_analyzed, SUM(CASE WHEN streak >= 3 THEN 1 ELSE 0 END)::BIGINT AS persistent_zombies,
   {rnd('AVG(gdp_growth)', 2)} AS avg_gdp_growth, {rnd('AVG(gdp_change)', 2)} AS gdp_trend
@@ -507,11 +540,7 @@ FROM streaks z LEFT JOIN trend g ON z.country_id=g.country_id AND z.year=g.year
 SELECT country_id, COUNT(*) AS total_companies, SUM(CASE WHEN icr >= 1.7 AND shocked < 1.5 THEN 1 ELSE 0 END)::BIGINT AS healthy_to_atrisk,
   SUM(CASE WHEN icr >= 1.5 AND shocked < 1.5 THEN 1 ELSE 0 END)::BIGINT AS newly_distressed, {rnd('AVG(icr)', 2)} AS avg_current_icr, {rnd('AVG(shocked)', 2)} AS avg_shocked_icr,
   {rnd('AVG(icr-shocked)', 2)} AS avg_icr_decline FROM shock GROUP BY 1"""),
-    "q_uc3_q3_geo_risk": sql("cover macro", f"""
-SELECT c.country_id, total_companies, zombie_count, {rnd('zombie_count*100.0/total_companies', 1)} AS zombie_pct, {rnd('debt/1000000', 2)} AS zombie_debt_bn,
-  {rnd('gdp', 0)} AS country_gdp_bn, {rnd('debt/1000000/NULLIF(gdp,0)*100', 2)} AS zombie_debt_pct_gdp
-FROM (SELECT country_id, COUNT(*) AS total_companies, SUM(CASE WHEN icr < 1.5 THEN 1 ELSE 0 END)::BIGINT AS zombie_count, SUM(CASE WHEN icr < 1.5 THEN total_debt ELSE 0 END) AS debt FROM cover WHERE year={LAST_YEAR} GROUP BY 1) c
-LEFT JOIN (SELECT country_id, AVG(indicator_value) AS gdp FROM macro WHERE indicator_name ILIKE '%Nominal GDP%bn%' AND year(indicator_date)={LAST_YEAR} GROUP BY 1) g ON c.country_id=g.country_id"""),
+    "q_uc3_q3_geo_risk": sql("cover macro", _GEO),
     "q_uc4_q1_housing_lead": sql("qgrowth housing", _housing("qgrowth", "SELECT * FROM housing", "qs")),
     "q_uc4_q2_volatility_quartiles": sql("quartiles", _quartiles(True)),
     "q_uc4_q3_resilience": sql("qgrowth macro", _resilience(
@@ -547,6 +576,15 @@ FROM (SELECT *, flag + COALESCE(LAG(flag,1) OVER w,0) + COALESCE(LAG(flag,2) OVE
   FROM (SELECT company_id, country_id, period_end_date, period_type, year(period_end_date) AS year, CASE WHEN interest_expense > 0 AND ebitda/interest_expense < 1.5 THEN 1 ELSE 0 END AS flag
         FROM financials JOIN companies USING (company_id) WHERE gics_sector_name <> 'Financials')
   WINDOW w AS (PARTITION BY company_id ORDER BY period_end_date, period_type)) GROUP BY 1, 2"""),
+    "q_v_uc2_q3_export": sql("rollcorr coverrate", _SENSITIVE + " LIMIT 100"),
+    "q_v_uc3_q2_report": sql("shock", f"""
+SELECT country_id, COUNT(*) AS total_companies, SUM(CASE WHEN icr >= 1.5 AND shocked < 1.5 THEN 1 ELSE 0 END)::BIGINT AS newly_distressed,
+  {rnd('AVG(icr)', 2)} AS avg_current_icr, {rnd('AVG(shocked)', 2)} AS avg_shocked_icr FROM shock WHERE total_debt > 0 GROUP BY 1"""),
+    "q_v_uc3_q3_report": sql("cover macro", _GEO),
+    "q_v_uc4_q2_report": sql("quartiles", _quartiles(True)),
+    "q_v_uc1_q2_report": sql("ukx", """
+SELECT year, COUNT(*) AS num_members, CASE WHEN SUM(w * w) < 0.15 THEN 'Unconcentrated' WHEN SUM(w * w) < 0.25 THEN 'Moderately Concentrated' ELSE 'Highly Concentrated' END AS concentration_level
+FROM (SELECT year, CAST(weight AS DOUBLE) / 100 AS w FROM ukx WHERE weight IS NOT NULL) GROUP BY 1"""),
     "q_v_uc3_q2_min10": sql("shock", f"""
 SELECT country_id, COUNT(*) AS companies, {rnd('AVG(icr)', 2)} AS current_icr, {rnd('AVG(shocked)', 2)} AS shocked_icr, SUM(CASE WHEN icr >= 1.5 AND shocked < 1.5 THEN 1 ELSE 0 END)::BIGINT AS newly_distressed
 FROM shock GROUP BY 1 HAVING COUNT(*) >= 10"""),
@@ -566,6 +604,11 @@ WHERE yoy IS NOT NULL GROUP BY 1"""),
 SELECT gics_sector_name, gics_industry_group_name, gics_industry_name, gics_sub_industry_name,
  CAST(GROUPING(gics_sector_name, gics_industry_group_name, gics_industry_name, gics_sub_industry_name) AS BIGINT) AS level, COUNT(*) AS companies, CAST(SUM(cap) AS DOUBLE) AS market_cap
 FROM companies GROUP BY ROLLUP (gics_sector_name, gics_industry_group_name, gics_industry_name, gics_sub_industry_name)"""),
+    "ext_hierarchy_recursive": sql("companies", """
+, tree AS (SELECT company_id AS node, company_id AS ancestor, 0 AS distance FROM companies
+  UNION ALL SELECT node, ancestor // 2, distance + 1 FROM tree WHERE ancestor > 0),
+sums AS (SELECT ancestor AS company_id, COUNT(*) AS members, CAST(SUM(cap) AS DOUBLE) AS market_cap FROM tree JOIN companies ON company_id = node GROUP BY 1)
+SELECT company_id, depth, members, market_cap FROM sums JOIN (SELECT node AS company_id, MAX(distance) AS depth FROM tree GROUP BY 1) USING (company_id)""").replace("WITH ", "WITH RECURSIVE ", 1).replace("\n, tree", ", tree"),
     "ext_membership_flag_lag": sql("ukx", f"""
 SELECT y.year, COUNT(*) FILTER (y.year > {FIRST_YEAR} AND f AND NOT p) AS joined, COUNT(*) FILTER (y.year > {FIRST_YEAR} AND p AND NOT f) AS left_index, COUNT(*) FILTER (y.year > {FIRST_YEAR} AND p AND f) AS stayed
 FROM (SELECT c.company_id, g.year, EXISTS (SELECT 1 FROM ukx u WHERE u.company_id=c.company_id AND u.year=g.year) AS f, EXISTS (SELECT 1 FROM ukx u WHERE u.company_id=c.company_id AND u.year=g.year-1) AS p
@@ -591,10 +634,8 @@ GROUP BY 1, 2 HAVING COUNT(*) = 3"""),
     "ext_concentration_gdp": sql("ukx gdp", f"""
 SELECT country_id, COUNT(*) AS years, {rnd('COVAR_POP(w, gdp_growth)/NULLIF(STDDEV_POP(w)*STDDEV_POP(gdp_growth), 0)', 6)} AS correlation
 FROM gdp JOIN (SELECT year, CAST(SUM(weight) AS DOUBLE) AS w FROM ({_TOP10}) WHERE rank <= 10 GROUP BY 1) t USING (year) GROUP BY 1"""),
-    "ext_asof_available": sql("prices financials", """
-SELECT p.company_id, p.price_date, f.available_date AS asof_available_date, f.period_type, f.period_end_date, f.revenue
-FROM prices p ASOF LEFT JOIN (SELECT *, period_end_date + CASE WHEN period_type='ANNUAL' THEN 75 ELSE 45 END AS available_date FROM financials) f
-ON p.company_id=f.company_id AND p.price_date >= f.available_date"""),
+    "ext_asof_available": sql("prices financials", _ASOF),
+    "ext_asof_sliced": sql("prices financials", _ASOF),
     "ext_percentiles": sql("debtratio", "SELECT year, COUNT(*) AS n, " + ", ".join(f"{rnd(f'quantile_cont(debt_ratio, {q})', 6)} AS {n}" for n, q in (("p10", 0.1), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p90", 0.9))) + " FROM debtratio GROUP BY 1"),
     "ext_housing_corr": sql("qgrowth housing", f"""
 SELECT gics_sector_name, CAST(lag AS BIGINT) AS lag, COUNT(*) AS cells, {rnd(_POP_CORR.format(x='starts', y='g'), 6)} AS correlation

@@ -16,9 +16,9 @@ from tidepanel import schemas
 from tidepanel.functions import aggregates as A
 from tidepanel.functions import cleaning, periods
 from tidepanel.functions import scalars as S
-from tidepanel.operators import dedup, joins, panel, quality, ranking, registry
+from tidepanel.operators import dedup, hierarchy, joins, panel, quality, ranking, registry
 from tidepanel.plans import concentration, cycles, extensions, incremental, leverage, macro, regimes, solvency, views
-from tidepanel.sources import files, grids, star_raw, store
+from tidepanel.sources import files, grids, rejects, star_raw, store
 from tidepanel.sources.star import Star
 
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -60,6 +60,24 @@ def ingest_month_columns(s):
     return grids.month_grid(star_raw.macro_cells(s), F.col("country_id"), layout)
 
 
+@query
+def ingest_text_cells(s):
+    """The rate sheet printed as one text file and read back as cells."""
+    folder = store.scratch_folder(s.spark, "sheet")
+    star_raw.rate_lines(s).repartition(1).sortWithinPartitions("row_no").select("value").write.text(folder)
+    return grids.read_grid(s.spark, folder).where(F.col("value") != "")
+
+
+@query
+def ingest_text_companies(s):
+    """Company master sheets printed as several text files and read back as company rows."""
+    folder = store.scratch_folder(s.spark, "masters")
+    lines = star_raw.master_lines(s).repartition(star_raw.MASTER_FILES, "file_no").sortWithinPartitions("file_no", "line_no")
+    lines.select("file_no", "value").write.partitionBy("file_no").text(folder)
+    rows = files.company_master(files.read_csv_with_preamble(s.spark, folder + "/*", place=True))
+    return rows.select("ticker", "company_name", "country_id", "currency", "gics_sector_name", "gics_sub_industry_name", "current_market_cap")
+
+
 @query
 def ingest_rate_columns(s):
     return grids.rate_grid(star_raw.rate_cells(s))
@@ -327,6 +345,21 @@ def dq_rejects(s):
     })
 
 
+@query
+def load_rejects(s):
+    """What each loader leaves out of faulty sheets when every seventh company is unknown."""
+    firms, layout = s.companies().where("company_id % 7 != 0"), grids.MonthLayout(anchor=star_raw.ANCHOR)
+    months = star_raw.macro_cells(s).withColumn("value", F.when(
+        (F.col("col_no") >= layout.first_month_col) & (F.col("col_no") % 17 == 0), F.lit("?")).otherwise(F.col("value")))
+    return rejects.counts(
+        rejects.membership_rejects(star_raw.membership_lines(s), firms),
+        rejects.price_rejects(star_raw.faulty_cells(star_raw.price_cells(s)), firms),
+        rejects.statement_rejects(star_raw.faulty_cells(star_raw.statement_cells(s, "QUARTERLY")), firms),
+        rejects.month_rejects(months, layout),
+        rejects.rate_rejects(star_raw.faulty_cells(star_raw.rate_cells(s))),
+    )
+
+
 @query
 def coverage_table_counts(s):
     return quality.table_counts({
@@ -549,6 +582,16 @@ def rolling_window_range(s):
     return _rolling_volatility(s.financials("ANNUAL").withColumn("year", F.year("period_end_date")))
 
 
+@query
+def rolling_window_sliced(s):
+    """The rolling moments with time cut into slices: a company isn't one task."""
+    rows = panel.with_growth(s.financials("ANNUAL").withColumn("year", F.year("period_end_date")), "company_id", "period_end_date", "revenue", "growth")
+    rows = panel.with_rolling_sliced(rows, "company_id", "year", "growth", WINDOW, slice_periods=WINDOW)
+    return rows.where(F.col("roll_count") == WINDOW).select(
+        "company_id", "year", F.round("roll_mean", 6).alias("mean_growth"), F.round("roll_std", 6).alias("volatility")
+    )
+
+
 @query
 def join_on_period_expr(s):
     return concentration.member_returns(s.membership(), s.prices()).select(
@@ -861,6 +904,14 @@ def q_v_uc1_q3_pivot(s):
     return concentration.churn_counts(s.membership(), last_year=LAST_YEAR)
 
 
+@query
+def q_v_uc1_q2_report(s):
+    """Concentration with the report's bands, for weights as fractions."""
+    fractions = s.membership().withColumn("weight", (F.col("weight") / 100).cast("decimal(10,8)"))
+    out = concentration.hhi(fractions, bands=[(0.15, "Unconcentrated"), (0.25, "Moderately Concentrated")])
+    return out.select("year", "num_members", "concentration_level")
+
+
 @query
 def q_v_uc2_q1_export(s):
     return leverage.leverage_distribution(s.financials("ANNUAL"), s.companies(), None)
@@ -876,6 +927,11 @@ def q_v_uc2_q2_by_year(s):
     return leverage.deleveraging_by_year(s.financials("ANNUAL"), s.companies())
 
 
+@query
+def q_v_uc2_q3_export(s):
+    return leverage.rate_sensitivity(s.financials("ANNUAL"), s.companies(), s.rates("POLICY_RATE"), WINDOW, RATE_YEARS, limit=100)
+
+
 @query
 def q_v_uc2_q3_semi(s):
     return leverage.rate_correlation_all(s.financials("ANNUAL"), s.companies(), s.rates("POLICY_RATE"), WINDOW, RATE_YEARS)
@@ -891,6 +947,17 @@ def q_v_uc3_q1_all(s):
     return solvency.zombies_all(s.financials(), s.companies())
 
 
+@query
+def q_v_uc3_q2_report(s):
+    rows = solvency.rate_shock(s.financials("ANNUAL", LATEST), s.companies(), LAST_YEAR, require_debt="positive")
+    return rows.select("country_id", "total_companies", "newly_distressed", "avg_current_icr", "avg_shocked_icr")
+
+
+@query
+def q_v_uc3_q3_report(s):
+    return solvency.geographic_risk(s.financials("ANNUAL", LATEST), s.companies(), s.macro(), LAST_YEAR)
+
+
 @query
 def q_v_uc3_q2_min10(s):
     rows = solvency.rate_shock(s.financials("ANNUAL", LATEST), s.companies(), LAST_YEAR, min_firms=10)
@@ -905,6 +972,11 @@ def q_v_uc4_q1_annual(s):
     return cycles.housing_lead(s.financials("ANNUAL"), s.companies(), s.macro(), "ANNUAL")
 
 
+@query
+def q_v_uc4_q2_report(s):
+    return cycles.volatility_quartiles(s.financials("ANNUAL"), s.companies(), WINDOW, MIN_YEARS)
+
+
 @query
 def q_v_uc4_q2_export(s):
     return cycles.volatility_quartiles(s.financials("ANNUAL"), s.companies(), WINDOW, MIN_YEARS, with_sectors=False)
@@ -938,6 +1010,22 @@ def ext_hierarchy_rollup(s):
     return extensions.hierarchy_rollup(s.companies())
 
 
+@query
+def ext_hierarchy_recursive(s):
+    """Companies as a tree of any depth (the parent of number n is n / 2) with counts and market caps of subtrees."""
+    firms = s.companies().select("company_id", "current_market_cap")
+    links = firms.where("company_id > 0").select("company_id", F.floor(F.col("company_id") / 2).alias("parent_id"))
+    out = hierarchy.rollup(links, "company_id", "parent_id", firms, "company_id", ["current_market_cap"])
+    return out.select(F.col("node").alias("company_id"), F.col("depth").cast("long").alias("depth"), "members",
+                      F.col("current_market_cap").cast("double").alias("market_cap"))
+
+
+@query
+def ext_asof_sliced(s):
+    """Statements available at each price date, a company's time cut into slices of a year."""
+    return extensions.available_statements(s.prices(), s.financials(), slice_days=365)
+
+
 @query
 def ext_membership_flag_lag(s):
     return extensions.membership_flag_changes(s.membership(), "UKX", FIRST_YEAR, LAST_YEAR)

@@ -43,13 +43,17 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 
 
 def asof_join(
-    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, values: list[str],
+    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, values: list[str], slice_days: int | None = None,
 ) -> DataFrame:
     """Latest right row at or before each left row's time, per key.
 
     Both sides are unioned and the last right values are carried forward in one
     window over ``key``: one shuffle, no range join. Right rows sort before left
     rows of the same time, so an exact match counts.
+
+    ``slice_days`` cuts the (date) time of each key into slices, so that a key with very many rows isn't one task: values
+    are carried within a slice first, and a left row that finds none there takes the last of the slices before,
+    of which there is one row each.
     """
     carried = F.struct(F.col(right_time).alias(f"asof_{right_time}"), *[F.col(v) for v in values])
     rows = F.struct(*[F.col(c) for c in left.columns if c != key])
@@ -63,9 +67,17 @@ def asof_join(
             F.lit(None).cast(right.select(carried.alias("x")).schema["x"].dataType).alias("_carry"),
         )
     )
-    span = Window.partitionBy(key).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        union.withColumn("_carry", F.last("_carry", ignorenulls=True).over(span))
-        .where(F.col("_side") == 1)
-        .select(key, "_row.*", "_carry.*")
-    )
+    group = [key]
+    if slice_days:
+        group = [key, "_slice"]
+        union = union.withColumn("_slice", F.floor(F.unix_date("_t") / slice_days))
+    span = Window.partitionBy(*group).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = union.withColumn("_carry", F.last("_carry", ignorenulls=True).over(span)).where(F.col("_side") == 1)
+    if slice_days:
+        ends = union.groupBy(*group).agg(F.max_by("_carry", F.when(F.col("_side") == 0, F.col("_t"))).alias("_end"))
+        earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.select(*group, F.last("_end", ignorenulls=True).over(earlier).alias("_before"))
+        same = F.col("l._slice").eqNullSafe(F.col("r._slice")) & (F.col(f"l.{key}") == F.col(f"r.{key}"))
+        found = found.alias("l").join(ends.alias("r"), same, "left").select(
+            f"l.{key}", "_row", F.coalesce("_carry", "_before").alias("_carry"))
+    return found.select(key, "_row.*", "_carry.*")

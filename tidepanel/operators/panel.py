@@ -80,6 +80,25 @@ def with_rolling(df: DataFrame, entity: Keys, period: str, value: str, k: int, p
     })
 
 
+def with_rolling_sliced(
+    df: DataFrame, entity: Keys, period: str, value: str, k: int, slice_periods: int, prefix: str = "roll",
+) -> DataFrame:
+    """``with_rolling`` for entities whose rows are too many for one task: time is cut into slices of ``slice_periods``.
+
+    A slice gets the rows of the ``k - 1`` periods before it as a halo, so every frame lies within one slice, and rows
+    of one entity are spread over as many tasks as it has slices. With slices of at least k periods a row is copied
+    once at most. Results are those of ``with_rolling``; rows without a period belong to a slice of their own.
+    """
+    if slice_periods < 1:
+        raise ValueError("a slice needs at least one period")
+    place = lambda p: F.floor(p / F.lit(slice_periods))
+    own = place(F.col(period))
+    slices = F.when(F.col(period).isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.sequence(own, place(F.col(period) + (k - 1))))
+    spread = df.withColumn("_slice", F.explode(slices))
+    rolled = with_rolling(spread, [*_list(entity), "_slice"], period, value, k, prefix)
+    return rolled.where(F.col("_slice").eqNullSafe(own)).drop("_slice")
+
+
 def with_rolling_correlation(df: DataFrame, entity: Keys, period: str, x: str, y: str, k: int, prefix: str = "roll") -> DataFrame:
     """Correlation over the last ``k`` calendar periods; NULL for a constant side."""
     frame = range_frame(entity, period, k)

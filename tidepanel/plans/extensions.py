@@ -96,7 +96,7 @@ def concentration_gdp_correlation(membership: DataFrame, macro: DataFrame, index
 
 
 def available_statements(
-    prices: DataFrame, financials: DataFrame, quarterly_days: int = 45, annual_days: int = 75,
+    prices: DataFrame, financials: DataFrame, quarterly_days: int = 45, annual_days: int = 75, slice_days: int | None = None,
 ) -> DataFrame:
     """For each price week the latest statement already published, with no look-ahead.
 
@@ -108,7 +108,7 @@ def available_statements(
     )
     return asof_join(
         prices.select("company_id", "price_date"), published, "company_id", "price_date", "available_date",
-        ["period_type", "period_end_date", "revenue"],
+        ["period_type", "period_end_date", "revenue"], slice_days,
     )
 
 

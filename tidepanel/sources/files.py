@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 import logging
 from collections.abc import Callable, Sequence
 
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from tidepanel import schemas
 from tidepanel.functions import cleaning
 from tidepanel.operators.dedup import distinct_sorted, first_wins
+from tidepanel.sources.lines import numbered_lines, records
 
 log = logging.getLogger(__name__)
 
@@ -32,27 +34,43 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return spark.read.format(fmt).schema(schema).options(**options).load(path)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header line; every column as text, names trimmed."""
-    df = cleaning.trim_names(spark.read.option("header", True).csv(path))
-    return cleaning.keep_known(df, list(columns), list(columns))
+#: Name of the column that tells a record's place, if asked for: its file and the number of its first line.
+PLACE = "_place"
 
 
-def read_csv_with_preamble(spark: SparkSession, path: str) -> DataFrame:
+def _csv_records(spark: SparkSession, path: str, skip: int) -> DataFrame:
+    """Records of CSV files as text columns named by the header, which is the first record after ``skip`` lines of
+    each file. Lines count by their place: a later one that equals the header is data. Blank ones are left out."""
+    lines = numbered_lines(spark, path).where(F.col("line_no") >= skip)
+    found = records(lines).where(F.trim("value") != "")
+    heads = found.groupBy("file").agg(F.min_by("value", "line_no").alias("header"), F.min("line_no").alias("head_no"))
+    headers = heads.select("header").distinct().limit(2).collect()
+    if len(headers) != 1:
+        raise ValueError(f"{path}: expected {'a preamble and ' if skip else ''}one header line, the same in all files")
+    names = [name.strip() or f"column_{i}" for i, name in enumerate(next(csv.reader(io.StringIO(headers[0][0]))))]
+    schema = ", ".join(f"`{name}` string" for name in names)
+    body = found.join(heads.select("file", "head_no"), "file").where(F.col("line_no") > F.col("head_no"))
+    parsed = F.from_csv("value", F.lit(schema), {"escape": '"', "multiLine": "true"})
+    return body.select(parsed.alias("r"), F.struct("file", "line_no").alias(PLACE)).select("r.*", PLACE)
+
+
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str], place: bool = False) -> DataFrame:
+    """CSV with a header line; every column as text. Quoted values may hold line breaks."""
+    wanted = [*columns, PLACE] if place else list(columns)
+    return cleaning.keep_known(_csv_records(spark, path, 0), wanted, wanted)
+
+
+def read_csv_with_preamble(spark: SparkSession, path: str, place: bool = False) -> DataFrame:
     """CSV whose first line is a preamble and second the header; every column as text.
 
-    The two lines are taken from the head of the file on the driver; the rest is
-    parsed in parallel and drops lines equal to them.
-    """
-    lines = spark.read.text(path)
-    head = [row.value for row in lines.limit(2).collect()]
-    if len(head) < 2:
-        raise ValueError(f"{path}: expected a preamble and a header line")
-    names = [name.strip() for name in next(csv.reader([head[1]]))]
-    names = [name or f"column_{i}" for i, name in enumerate(names)]
-    schema = ", ".join(f"`{name}` string" for name in names)
-    body = lines.where(~F.col("value").isin(head) & (F.trim("value") != ""))
-    return body.select(F.from_csv("value", F.lit(schema)).alias("r")).select("r.*")
+    Quoted values may hold line breaks; only the first header is seen by the driver."""
+    rows = _csv_records(spark, path, 1)
+    return rows if place else rows.drop(PLACE)
+
+
+def _in_place(df: DataFrame) -> Column:
+    """Order of records: by their place where it is known, else as the rows come."""
+    return F.col(PLACE) if PLACE in df.columns else F.monotonically_increasing_id()
 
 
 COMPANY_COLUMNS = ["NAME", "COUNTRY", "CRNCY", "GICS_SECTOR_NAME", "GICS_INDUSTRY_GROUP_NAME",
@@ -62,7 +80,7 @@ COMPANY_COLUMNS = ["NAME", "COUNTRY", "CRNCY", "GICS_SECTOR_NAME", "GICS_INDUSTR
 def company_master(raw: DataFrame) -> DataFrame:
     """Company rows of a master sheet: first column is the ticker, first row per ticker wins."""
     ticker = F.trim(F.col(f"`{raw.columns[0]}`"))
-    rows = raw.withColumn("_ord", F.monotonically_increasing_id()).select(
+    rows = raw.withColumn("_ord", _in_place(raw)).select(
         "_ord", ticker.alias("ticker"), F.col("NAME").alias("company_name"),
         cleaning.country_code("COUNTRY").alias("country_id"), F.col("CRNCY").alias("currency"),
         cleaning.null_if_token("GICS_SECTOR_NAME").alias("gics_sector_name"),
@@ -103,17 +121,17 @@ def read_snapshots(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
     in the file first by name stays.
     Files whose name starts with ``~$`` (editor locks) are left out.
     """
-    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(
-        "value", F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("_file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")).alias("_at"),
+    name = F.element_at(F.split("file", "/"), -1)
+    lines = numbered_lines(spark, folder, pattern).select(
+        "value", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("_file"), F.col("line_no").alias("_at"),
     ).where(~F.col("_file").startswith("~$") & (F.trim("value") != ""))
-    headers = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
+    headers = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"), F.min("_at").alias("_first"))
     names = text_cells(F.col("_header"))
     known = F.when(F.array_contains(names, "Ticker"), names).otherwise(
         F.raise_error(F.concat(F.lit("missing Ticker column in "), "_file"))
     )
-    headers = headers.select("_file", "_header", known.alias("_names"))
-    cells = lines.join(headers, "_file").where(F.col("value") != F.col("_header")).withColumn(
+    headers = headers.select("_file", F.col("_first"), known.alias("_names"))
+    cells = lines.join(headers, "_file").where(F.col("_at") > F.col("_first")).withColumn(
         "_cells", text_cells(F.col("value"))
     )
     place = lambda name: (F.array_position("_names", name) - 1).cast("int")
@@ -142,7 +160,7 @@ def membership_rows(raw: DataFrame, companies: DataFrame) -> DataFrame:
         cleaning.to_number("Weight").cast("decimal(10,6)").alias("weight"),
         cleaning.to_number("Shares").cast("decimal(20,6)").alias("shares_outstanding"),
         cleaning.to_number("Price").cast("decimal(15,4)").alias("price"),
-        F.monotonically_increasing_id().alias("_ord"),
+        _in_place(raw).alias("_ord"),
     ).where(F.col("as_of_date").isNotNull())
     keyed = rows.join(companies.select("ticker", "company_id"), "ticker")
     first = first_wins(keyed, schemas.KEYS["index_membership"], [F.col("_ord")])

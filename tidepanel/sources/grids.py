@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel import schemas
 from tidepanel.functions import cleaning
 from tidepanel.operators.joins import broadcast_bounded
 from tidepanel.sources.files import text_cells
+from tidepanel.sources.lines import numbered_lines
 
 SHEET_ROWS = 1 << 20  # row limit of a spreadsheet
 
@@ -53,17 +54,9 @@ class MonthLayout:
 
 
 def read_grid(spark: SparkSession, path: str) -> DataFrame:
-    """Cells of a CSV export of a sheet (one file).
-
-    A sheet has a bounded number of rows, so numbering its lines is one small sort.
-    """
-    order = Window.partitionBy("_file").orderBy("_block", "_id")
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    numbered = lines.withColumn("row_no", F.row_number().over(order).cast("long") - 1)
-    exploded = numbered.select("row_no", F.posexplode(text_cells(F.col("value"))).alias("col_no", "value"))
+    """Cells of a CSV export of a sheet (one file). Lines are numbered where they are read and don't move."""
+    cells = F.posexplode(text_cells(F.col("value"))).alias("col_no", "value")
+    exploded = numbered_lines(spark, path).select(F.col("line_no").alias("row_no"), cells)
     return exploded.select("row_no", F.col("col_no").cast("long").alias("col_no"), "value")
 
 
@@ -74,6 +67,14 @@ def _row_dates(cells: DataFrame, first_data_row: int) -> DataFrame:
     return broadcast_bounded(dated, SHEET_ROWS, row_bytes=16)
 
 
+def tickers(cells: DataFrame, layout: PairLayout | FieldLayout) -> DataFrame:
+    """``ticker, block``: every ticker of a sheet and the column where its last block begins."""
+    head = cells.where((F.col("row_no") == layout.ticker_row) & (F.col("col_no") >= layout.first_col))
+    first = head.where((F.col("col_no") - layout.first_col) % layout.width == 0).select(
+        cleaning.null_if_token("value").alias("ticker"), F.col("col_no").alias("block"))
+    return first.where(F.col("ticker").isNotNull()).groupBy("ticker").agg(F.max("block").alias("block"))
+
+
 def _blocks(cells: DataFrame, layout: PairLayout | FieldLayout) -> DataFrame:
     """Column -> (ticker of its block, field text of the column, place in the block).
 

@@ -114,14 +114,15 @@ def statement_cells(star: Star, period_type: str = "ANNUAL", with_dates: bool =
 
 
 def macro_cells(star: Star) -> DataFrame:
-    """One sheet row per indicator and country, newest month first; counts and exact values only."""
+    """One sheet row per indicator and country, newest month first. Counts and values are printed exactly, ratios with
+    six digits."""
     codes = F.create_map(*[F.lit(x) for i, pair in enumerate(INDICATORS.items()) for x in (pair[1], i)])
-    rows = star.macro().where(F.col("indicator_name").isin(INDICATORS["HOUSST"], INDICATORS["GDPNOM"]))
+    rows = star.macro()
     number = F.element_at(codes, F.col("indicator_name")).cast("long") + 2
     offset = F.months_between(F.lit(ANCHOR).cast("date"), "indicator_date").cast("int")
-    text = F.when(F.col("indicator_name") == INDICATORS["HOUSST"], F.col("indicator_value").cast("long").cast("string")).otherwise(
-        F.format_number((F.col("indicator_value") * 1000000).cast("decimal(28,2)"), 2)
-    )
+    text = F.when(F.col("indicator_name") == INDICATORS["HOUSST"], F.col("indicator_value").cast("long").cast("string")).when(
+        F.col("indicator_name") == INDICATORS["GDPNOM"], F.format_number((F.col("indicator_value") * 1000000).cast("decimal(28,2)"), 2)
+    ).otherwise(F.format_number(F.round("indicator_value", 6), 6))
     body = rows.select("country_id", *_cell(number, offset + 2, text))
     labels = rows.select("country_id", "indicator_name", "bloomberg_ticker", number.alias("n")).distinct()
     labels = labels.select("country_id", F.explode(F.array(
@@ -165,3 +166,54 @@ def snapshot_files(star: Star) -> DataFrame:
     again = ukx.withColumn("Price", F.col("Price") * 0 - 1).withColumn("load_order", F.lit(1))
     again = again.withColumn("_file", F.regexp_replace("_file", r"\.csv$", "1.csv"))
     return ukx.unionByName(spx, allowMissingColumns=True).unionByName(again)
+
+
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def rate_lines(star: Star) -> DataFrame:
+    """The rate sheet as text lines ``row_no, value``, numbers with commas and thus in quotes; no row is left out."""
+    cells = rate_cells(star)
+    number = F.format_number(F.col("value").try_cast("long"), 0)
+    text = F.when(F.col("col_no") > 0, F.coalesce(_quoted(number), F.col("value"))).otherwise(F.col("value"))
+    rows = cells.groupBy("row_no").agg(F.map_from_entries(F.collect_list(F.struct("col_no", text.alias("text")))).alias("cells"))
+    columns = F.sequence(F.lit(0).cast("long"), F.lit(len(schemas.RATE_COLUMNS)).cast("long"))
+    line = F.array_join(F.transform(columns, lambda c: F.coalesce(F.col("cells")[c], F.lit(""))), ",")
+    all_rows = cells.agg(F.max("row_no").alias("last")).select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("row_no"))
+    return all_rows.join(rows, "row_no", "left").select("row_no", F.coalesce(line, F.lit("")).alias("value"))
+
+
+#: Files that the company master is exported to.
+MASTER_FILES = 8
+
+
+def master_lines(star: Star) -> DataFrame:
+    """Company master sheets as text lines ``file_no, line_no, value``, each with a preamble and a header. Some names
+    have a line break, and the first sheet has a line that equals its header."""
+    firms = star.companies()
+    header = "TICKER,NAME,COUNTRY,CRNCY,GICS_SECTOR_NAME,GICS_INDUSTRY_GROUP_NAME,GICS_INDUSTRY_NAME,GICS_SUB_INDUSTRY_NAME,CUR_MKT_CAP"
+    name = F.when(F.col("company_id") % 5 == 0, F.concat("company_name", F.lit('\nformerly "'), "ticker", F.lit('"'))).otherwise(F.col("company_name"))
+    cells = ["ticker", _quoted(name), F.concat_ws(" ", "country_id", F.lit("land")), "currency",
+             *[F.coalesce(F.col(f"gics_{c}_name"), F.lit("#N/A")) for c in ("sector", "industry_group", "industry", "sub_industry")],
+             _quoted(F.format_number("current_market_cap", 2))]
+    body = firms.select((F.col("company_id") % MASTER_FILES).alias("file_no"), (F.col("company_id") + 2).alias("line_no"), F.concat_ws(",", *cells).alias("value"))
+    heads = star.spark.range(MASTER_FILES).select(F.col("id").alias("file_no"), F.inline(F.array(
+        F.struct(F.lit(0).cast("long").alias("line_no"), F.lit('exported, with a "preamble').alias("value")),
+        F.struct(F.lit(1).cast("long").alias("line_no"), F.lit(header).alias("value")))))
+    repeated = star.spark.range(1).select(F.col("id").alias("file_no"), F.lit(2).cast("long").alias("line_no"), F.lit(header).alias("value"))
+    return heads.unionByName(body).unionByName(repeated)
+
+
+def faulty_cells(cells: DataFrame, date: str = "some day") -> DataFrame:
+    """Sheet cells of which some can't be read: a number in 97, and the date of a row in 50."""
+    lost = (F.col("row_no") >= 6) & (F.col("col_no") > 0) & ((F.col("row_no") + F.col("col_no")) % 97 == 0)
+    undated = (F.col("row_no") >= 6) & (F.col("col_no") == 0) & (F.col("row_no") % 50 == 0)
+    return cells.withColumn("value", F.when(lost, F.lit("n.m.")).when(undated, F.lit(date)).otherwise(F.col("value")))
+
+
+def membership_lines(star: Star) -> DataFrame:
+    """Consolidated membership rows as text, some without a date."""
+    members = star.membership().join(star.companies().select("company_id", "ticker", "company_name"), "company_id")
+    date = F.when(F.col("company_id") % 13 == 0, F.lit("2001-13-45")).otherwise(F.col("as_of_date").cast("string"))
+    return members.select("index_id", date.alias("as_of_date"), F.concat(F.lit(" "), "ticker").alias("Ticker"), F.col("company_name").alias("Name"))
