@@ -2,15 +2,17 @@
 
 import hashlib
 import io
+import json
 import random
 import zipfile
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidepanel.llm import language, leaks, neardup, neighbours, packing, queries, suffixes, urls, warc
+from tidepanel.llm import language, leaks, neardup, neighbours, packing, queries, suffixes, tokens, urls, warc
 from tidepanel.llm.common import new_folder, written
 from tidepanel.llm.components import components
 from tidepanel.llm.tokens import Encoder
@@ -106,11 +108,30 @@ def test_language_odd_rows(spark):
 # ---- packing
 
 
-def test_encoder_equals_the_tokenizer():
-    encoder, plain, rng = Encoder(packing.tokenizer_path(), most=20), Encoder(packing.tokenizer_path()), random.Random(1)
-    bits = ["a", "Be", "é", " ", "  ", "\n", "\t", "'s", "1", "22", "!", ".", ",", "$$$", " ", "<|endoftext|>", "\r", "\0", "ß", "日", "\x1f", "\u00a0", "😀"]
+def test_encoder_equals_the_tokenizer(spark, monkeypatch):
+    encoder, rng = Encoder(packing.tokenizer_path()), random.Random(1)
+    assert encoder.quick is not None
+    bits = ["a", "Be", "é", " ", "  ", "\n", "\t", "'s", "1", "22", "!", ".", ",", "$$$", " ", "<|endoftext|>", "\r", "\0", "ß", "日", "\x1f", "\u00a0", "😀", "\x85", "ǅ", "²"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
-    assert encoder.encode(texts) == [plain.ids(t) for t in texts]
+    texts += [chr(c) * 2 + " " + chr(c) + "a" for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    assert encoder.encode(texts) == [encoder.ids(t) for t in texts]
+    docs = [r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    whole = [encoder.ids(t) for t in docs]
+    assert encoder.encode(docs) == whole
+    monkeypatch.setattr(tokens, "PART_CHARS", 100)
+    assert encoder.encode(docs) == whole
+    odd = ["\n" * 1_000_000 + "x", "a" * 50_000, " a" * 2_000]
+    assert encoder.encode(odd) == [encoder.ids(t) for t in odd]
+
+
+def test_other_tokenizers_are_not_guessed(tmp_path):
+    words = Encoder(packing.tokenizer_path("word_bpe_49k.json"))
+    assert words.quick is None and words.encode(["One two", ""]) == [words.ids("One two"), b""]
+    raw = json.loads(Path(packing.tokenizer_path()).read_text())
+    raw["model"]["merges"] = raw["model"]["merges"][1:] + raw["model"]["merges"][:1]
+    (tmp_path / "t.json").write_text(json.dumps(raw))
+    assert tokens.ranks(str(tmp_path / "t.json")) is None  # numbers not in the order of the merges
+    assert not tokens.reached("abc", {("b", "c"): 0, ("ab", "c"): 1}) and tokens.reached("abc", {("b", "c"): 0, ("a", "bc"): 1})
 
 
 def test_packing_is_whole_gapless_and_near_its_bound(spark):
