@@ -7,7 +7,9 @@ Spark uses lag and lead, direct text functions where Spark reads sheet cells.
 
 from __future__ import annotations
 
-FIRST_YEAR, LAST_YEAR = 1995, 2001
+FIRST_YEAR, LAST_YEAR = (f"(SELECT {f}(year(CAST(l_shipdate AS DATE))) FROM lineitem)" for f in ("MIN", "MAX"))
+_FIRST_FRIDAY = "(SELECT CAST(date_trunc('week', MIN(l_shipdate)) AS DATE) + 4 FROM lineitem)"
+_LAST_MONTH = "(SELECT CAST(date_trunc('month', MAX(o_orderdate)) AS DATE) FROM orders)"
 WINDOW, MIN_YEARS, RATE_YEARS = 5, 5, 7
 
 _SECTORS = (
@@ -312,10 +314,10 @@ FROM weekly WHERE (company_id + date_diff('day', DATE '1970-01-02', price_date))
 SELECT country_id, indicator_date, indicator_name, bloomberg_ticker, indicator_category,
   CASE WHEN indicator_name ILIKE 'Nominal%' THEN {rnd('indicator_value * 1000000', 2)} WHEN indicator_name ILIKE 'Housing%' THEN indicator_value ELSE {rnd('indicator_value', 6)} END AS indicator_value
 FROM macro"""),
-    "ingest_text_cells": sql("weekrates", """
-SELECT DISTINCT date_diff('day', DATE '1994-12-30', rate_date) // 7 + 6 AS row_no, 0 AS col_no, CAST(rate_date AS VARCHAR) AS value FROM weekrates
-UNION ALL SELECT date_diff('day', DATE '1994-12-30', rate_date) // 7 + 6, list_position(['US','GB','DE','JP','CN'], country_id) + k,
-  CASE WHEN x = 0 THEN 'N/A' ELSE format('{:,}', CAST(x AS BIGINT)) END
+    "ingest_text_cells": sql("weekrates", f"""
+SELECT DISTINCT date_diff('day', {_FIRST_FRIDAY}, rate_date) // 7 + 6 AS row_no, 0 AS col_no, CAST(rate_date AS VARCHAR) AS value FROM weekrates
+UNION ALL SELECT date_diff('day', {_FIRST_FRIDAY}, rate_date) // 7 + 6, list_position(['US','GB','DE','JP','CN'], country_id) + k,
+  CASE WHEN x = 0 THEN 'N/A' ELSE format('{{:,}}', CAST(x AS BIGINT)) END
 FROM (SELECT rate_date, country_id, 0 AS k, tax AS x FROM weekrates UNION ALL SELECT rate_date, country_id, 5, disc FROM weekrates)"""),
     "ingest_text_companies": sql("companies", """
 SELECT ticker, CASE WHEN company_id % 5 = 0 THEN company_name || chr(10) || 'formerly "' || ticker || '"' ELSE company_name END AS company_name,
@@ -373,18 +375,18 @@ UNION ALL SELECT 'events.user_id', COUNT(DISTINCT user_id), COUNT(*) FROM events
     "dq_declared_references": sql("faulty_firms faulty_members faulty_macro faulty_rates prices financials countries", "\nUNION ALL ".join(
         f"SELECT '{name}' AS reference, COUNT(DISTINCT {c}) AS orphan_keys, COUNT({c}) AS orphan_rows FROM {child} WHERE {c} NOT IN (SELECT {pc} FROM {parent})"
         for name, child, c, parent, pc in _DECLARED)),
-    "load_rejects": sql("membership companies weekly quarterly weekrates monthly macro", """
+    "load_rejects": sql("membership companies weekly quarterly weekrates monthly macro", f"""
 SELECT 'index_membership' AS loader, 'unknown_ticker' AS reason, COUNT(*) AS rejected FROM membership WHERE company_id % 7 = 0
 UNION ALL SELECT 'index_membership', 'bad_date', COUNT(*) FROM membership WHERE company_id % 13 = 0
 UNION ALL SELECT loader, 'unknown_ticker', COUNT(*) FROM companies, (VALUES ('prices_weekly'), ('financials')) l(loader) WHERE company_id % 7 = 0 GROUP BY 1
-UNION ALL SELECT 'prices_weekly', 'bad_number', COUNT(*) FROM (SELECT date_diff('day', DATE '1994-12-30', price_date) // 7 + 6 AS r, company_id * 2 + k AS c FROM weekly, (VALUES (1), (2)) v(k)) WHERE (r + c) % 97 = 0
-UNION ALL SELECT 'prices_weekly', 'bad_date', COUNT(DISTINCT price_date) FROM weekly WHERE (date_diff('day', DATE '1994-12-30', price_date) // 7 + 6) % 50 = 0
-UNION ALL SELECT 'financials', 'bad_number', COUNT(*) FROM (SELECT (year(period_end_date) - 1995) * 4 + quarter(period_end_date) - 1 + 6 AS r, company_id * 7 + k AS c FROM quarterly, (SELECT unnest(range(1, 8)) AS k)) WHERE (r + c) % 97 = 0
-UNION ALL SELECT 'financials', 'bad_date', COUNT(DISTINCT period_end_date) FROM quarterly WHERE ((year(period_end_date) - 1995) * 4 + quarter(period_end_date) - 1 + 6) % 50 = 0 HAVING COUNT(*) > 0
-UNION ALL SELECT 'macro_indicators', 'bad_number', COUNT(*) FROM macro WHERE (date_diff('month', indicator_date, DATE '2001-12-01') + 2) % 17 = 0
-UNION ALL SELECT 'interest_rates', 'bad_number', COUNT(*) FROM (SELECT date_diff('day', DATE '1994-12-30', rate_date) // 7 + 6 AS r, list_position(['US','GB','DE','JP','CN'], country_id) + k AS c
+UNION ALL SELECT 'prices_weekly', 'bad_number', COUNT(*) FROM (SELECT date_diff('day', {_FIRST_FRIDAY}, price_date) // 7 + 6 AS r, company_id * 2 + k AS c FROM weekly, (VALUES (1), (2)) v(k)) WHERE (r + c) % 97 = 0
+UNION ALL SELECT 'prices_weekly', 'bad_date', COUNT(DISTINCT price_date) FROM weekly WHERE (date_diff('day', {_FIRST_FRIDAY}, price_date) // 7 + 6) % 50 = 0
+UNION ALL SELECT 'financials', 'bad_number', COUNT(*) FROM (SELECT (year(period_end_date) - {FIRST_YEAR}) * 4 + quarter(period_end_date) - 1 + 6 AS r, company_id * 7 + k AS c FROM quarterly, (SELECT unnest(range(1, 8)) AS k)) WHERE (r + c) % 97 = 0
+UNION ALL SELECT 'financials', 'bad_date', COUNT(DISTINCT period_end_date) FROM quarterly WHERE ((year(period_end_date) - {FIRST_YEAR}) * 4 + quarter(period_end_date) - 1 + 6) % 50 = 0 HAVING COUNT(*) > 0
+UNION ALL SELECT 'macro_indicators', 'bad_number', COUNT(*) FROM macro WHERE (date_diff('month', indicator_date, {_LAST_MONTH}) + 2) % 17 = 0
+UNION ALL SELECT 'interest_rates', 'bad_number', COUNT(*) FROM (SELECT date_diff('day', {_FIRST_FRIDAY}, rate_date) // 7 + 6 AS r, list_position(['US','GB','DE','JP','CN'], country_id) + k AS c
   FROM weekrates, (VALUES (0), (5)) v(k)) WHERE (r + c) % 97 = 0
-UNION ALL SELECT 'interest_rates', 'bad_date', COUNT(DISTINCT rate_date) FROM weekrates WHERE (date_diff('day', DATE '1994-12-30', rate_date) // 7 + 6) % 50 = 0"""),
+UNION ALL SELECT 'interest_rates', 'bad_date', COUNT(DISTINCT rate_date) FROM weekrates WHERE (date_diff('day', {_FIRST_FRIDAY}, rate_date) // 7 + 6) % 50 = 0"""),
     "dq_rejects": sql("orderparsed", """
 SELECT COUNT(number) AS number_text_parsed, SUM(CASE WHEN number IS NULL AND NOT missing THEN 1 ELSE 0 END)::BIGINT AS number_text_rejected,
   COUNT(parsed_date) AS date_text_parsed, SUM(CASE WHEN parsed_date IS NULL THEN 1 ELSE 0 END)::BIGINT AS date_text_rejected FROM orderparsed"""),
@@ -612,7 +614,7 @@ SELECT company_id, depth, members, market_cap FROM sums JOIN (SELECT node AS com
     "ext_membership_flag_lag": sql("ukx", f"""
 SELECT y.year, COUNT(*) FILTER (y.year > {FIRST_YEAR} AND f AND NOT p) AS joined, COUNT(*) FILTER (y.year > {FIRST_YEAR} AND p AND NOT f) AS left_index, COUNT(*) FILTER (y.year > {FIRST_YEAR} AND p AND f) AS stayed
 FROM (SELECT c.company_id, g.year, EXISTS (SELECT 1 FROM ukx u WHERE u.company_id=c.company_id AND u.year=g.year) AS f, EXISTS (SELECT 1 FROM ukx u WHERE u.company_id=c.company_id AND u.year=g.year-1) AS p
-      FROM (SELECT DISTINCT company_id FROM ukx) c, (SELECT unnest(range({FIRST_YEAR}, {LAST_YEAR + 1})) AS year) g) y GROUP BY 1"""),
+      FROM (SELECT DISTINCT company_id FROM ukx) c, (SELECT unnest(range({FIRST_YEAR}, {LAST_YEAR} + 1)) AS year) g) y GROUP BY 1"""),
     "ext_churn_size_compare": sql("ukx", f"""
 SELECT a.year, CASE WHEN b.company_id IS NULL THEN 'LEAVER' ELSE 'STAYER' END AS status, COUNT(*) AS members, {rnd('AVG(a.price*a.shares_outstanding)', 2)} AS avg_size
 FROM ukx a LEFT JOIN ukx b ON a.company_id=b.company_id AND b.year=a.year+1 WHERE a.year < {LAST_YEAR} GROUP BY 1, 2"""),

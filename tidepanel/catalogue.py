@@ -1,8 +1,8 @@
 """Every operator and study as a named query over one star-schema folder.
 
 Each function takes a ``Star`` and returns a DataFrame. Thresholds follow the
-defaults except where the data's calendar (1995 to 2001, the last year partial)
-asks for other years or shorter windows.
+defaults except where the data's calendar (seven years, the last one partial)
+asks for shorter windows. First and last periods are those of the data.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from tidepanel.plans import concentration, cycles, extensions, incremental, leve
 from tidepanel.sources import files, grids, rejects, star_raw, store
 from tidepanel.sources.star import Star
 
-FIRST_YEAR, LAST_YEAR = 1995, 2001
-LATEST = (LAST_YEAR, LAST_YEAR)
 LABELS = {"Crisis Year": [1998, 2001], "Boom Year": [1996, 1997]}
 WINDOW, MIN_YEARS = 5, 5
 RATE_YEARS = 7
@@ -30,6 +28,11 @@ RATE_YEARS = 7
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {}
 
 
+def _latest(s: Star) -> DataFrame:
+    """Annual statements of the last year; the bound reaches the scan."""
+    return s.financials("ANNUAL", (s.last_year(), s.last_year()))
+
+
 def query(build: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
     QUERIES[build.__name__] = build
     return build
@@ -56,7 +59,7 @@ def ingest_wide_fields(s):
 
 @query
 def ingest_month_columns(s):
-    layout = grids.MonthLayout(anchor=star_raw.ANCHOR)
+    layout = grids.MonthLayout(anchor=s.last_month())
     return grids.month_grid(star_raw.macro_cells(s), F.col("country_id"), layout)
 
 
@@ -86,7 +89,7 @@ def ingest_rate_columns(s):
 @query
 def calendar_fill(s):
     cells = star_raw.statement_cells(s, "QUARTERLY", with_dates=False)
-    filled = grids.fill_calendar(cells, "QUARTERLY", FIRST_YEAR, LAST_YEAR)
+    filled = grids.fill_calendar(cells, "QUARTERLY", s.first_year(), last_year=None)
     data = filled.where(F.col("row_no") >= 6)
     return data.groupBy("row_no").agg(
         F.max(F.when(F.col("col_no") == 0, cleaning.to_date("value"))).alias("period_end_date"),
@@ -174,7 +177,7 @@ def incremental_churn(s):
     members = s.membership().withColumn("year", F.year("as_of_date"))
     final = members.agg(F.max("year").alias("year"))
 
-    def churn(rows):
+    def churn(rows):  # also where only some years are looked at, the last one is that of all members
         return concentration.churn_counts(rows, last_year=final.scalar())
 
     return _appended(s, members, incremental.CHURN, churn)
@@ -348,7 +351,7 @@ def dq_rejects(s):
 @query
 def load_rejects(s):
     """What each loader leaves out of faulty sheets when every seventh company is unknown."""
-    firms, layout = s.companies().where("company_id % 7 != 0"), grids.MonthLayout(anchor=star_raw.ANCHOR)
+    firms, layout = s.companies().where("company_id % 7 != 0"), grids.MonthLayout(anchor=s.last_month())
     months = star_raw.macro_cells(s).withColumn("value", F.when(
         (F.col("col_no") >= layout.first_month_col) & (F.col("col_no") % 17 == 0), F.lit("?")).otherwise(F.col("value")))
     return rejects.counts(
@@ -465,7 +468,7 @@ def annualise_returns(s):
 
 @query
 def scenario_rate_shock(s):
-    return solvency.scenario_grid(s.financials("ANNUAL", LATEST), s.companies(), LAST_YEAR, [100, 200, 300], [0.25, 0.5, 1.0])
+    return solvency.scenario_grid(_latest(s), s.companies(), s.last_year(), [100, 200, 300], [0.25, 0.5, 1.0])
 
 
 @query
@@ -524,7 +527,7 @@ def having_min_count(s):
 
 @query
 def membership_exits(s):
-    rows = concentration.membership_changes(s.membership(), "UKX", LAST_YEAR)
+    rows = concentration.membership_changes(s.membership(), "UKX")
     return rows.where(F.col("status") == "EXIT")
 
 
@@ -573,7 +576,7 @@ def join_period_align(s):
 
 @query
 def membership_entries(s):
-    rows = concentration.membership_changes(s.membership(), "UKX", LAST_YEAR)
+    rows = concentration.membership_changes(s.membership(), "UKX")
     return rows.where(F.col("status") == "ENTRY")
 
 
@@ -824,7 +827,7 @@ def q_uc1_q2_hhi(s):
 
 @query
 def q_uc1_q3_index_churn(s):
-    return concentration.index_churn(s.membership(), s.companies(), last_year=LAST_YEAR)
+    return concentration.index_churn(s.membership(), s.companies())
 
 
 @query
@@ -849,12 +852,12 @@ def q_uc3_q1_zombies(s):
 
 @query
 def q_uc3_q2_rate_shock(s):
-    return solvency.rate_shock(s.financials("ANNUAL", LATEST), s.companies(), LAST_YEAR, healthy=1.7)
+    return solvency.rate_shock(_latest(s), s.companies(), s.last_year(), healthy=1.7)
 
 
 @query
 def q_uc3_q3_geo_risk(s):
-    return solvency.geographic_risk(s.financials("ANNUAL", LATEST), s.companies(), s.macro(), LAST_YEAR)
+    return solvency.geographic_risk(_latest(s), s.companies(), s.macro(), s.last_year())
 
 
 @query
@@ -901,7 +904,7 @@ def q_v_uc1_q2_export(s):
 
 @query
 def q_v_uc1_q3_pivot(s):
-    return concentration.churn_counts(s.membership(), last_year=LAST_YEAR)
+    return concentration.churn_counts(s.membership())
 
 
 @query
@@ -949,18 +952,18 @@ def q_v_uc3_q1_all(s):
 
 @query
 def q_v_uc3_q2_report(s):
-    rows = solvency.rate_shock(s.financials("ANNUAL", LATEST), s.companies(), LAST_YEAR, require_debt="positive")
+    rows = solvency.rate_shock(_latest(s), s.companies(), s.last_year(), require_debt="positive")
     return rows.select("country_id", "total_companies", "newly_distressed", "avg_current_icr", "avg_shocked_icr")
 
 
 @query
 def q_v_uc3_q3_report(s):
-    return solvency.geographic_risk(s.financials("ANNUAL", LATEST), s.companies(), s.macro(), LAST_YEAR)
+    return solvency.geographic_risk(_latest(s), s.companies(), s.macro(), s.last_year())
 
 
 @query
 def q_v_uc3_q2_min10(s):
-    rows = solvency.rate_shock(s.financials("ANNUAL", LATEST), s.companies(), LAST_YEAR, min_firms=10)
+    rows = solvency.rate_shock(_latest(s), s.companies(), s.last_year(), min_firms=10)
     return rows.select(
         "country_id", F.col("total_companies").alias("companies"), F.col("avg_current_icr").alias("current_icr"),
         F.col("avg_shocked_icr").alias("shocked_icr"), "newly_distressed",
@@ -1028,12 +1031,12 @@ def ext_asof_sliced(s):
 
 @query
 def ext_membership_flag_lag(s):
-    return extensions.membership_flag_changes(s.membership(), "UKX", FIRST_YEAR, LAST_YEAR)
+    return extensions.membership_flag_changes(s.membership(), "UKX")
 
 
 @query
 def ext_churn_size_compare(s):
-    return extensions.churn_size(s.membership(), "UKX", LAST_YEAR)
+    return extensions.churn_size(s.membership(), "UKX")
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.functions.aggregates import string_list
@@ -110,25 +110,27 @@ def hhi_with_returns(
     )
 
 
-def member_years(membership: DataFrame, index_id: str, last_year: int) -> DataFrame:
+def member_years(membership: DataFrame, index_id: str, last_year: int | Column | None = None) -> DataFrame:
     """Member years of each company, marked where it entered (no membership in the year before)
-    and where it left. An exit carries the last member year; the final year cannot show exits.
+    and where it left. An exit carries the last member year; the final year cannot show exits; unless it is given it is the last one that the index has members in.
 
     One pass over each company's years finds both, without a self-join."""
     years = membership.where(F.col("index_id") == index_id).select("company_id", F.year("as_of_date").alias("year")).distinct()
+    if last_year is None:
+        last_year = years.agg(F.max("year").alias("year")).scalar()
     near = with_periods_since(years, "company_id", "year")
     entered = F.col("prev_period").isNull() | (F.col("prev_period") != F.col("year") - 1)
     left = (F.col("next_period").isNull() | (F.col("next_period") != F.col("year") + 1)) & (F.col("year") < last_year)
     return near.select("company_id", "year", entered.alias("entered"), left.alias("left_after"))
 
 
-def membership_changes(membership: DataFrame, index_id: str, last_year: int) -> DataFrame:
+def membership_changes(membership: DataFrame, index_id: str, last_year: int | Column | None = None) -> DataFrame:
     """One row per entry and per exit."""
     status = F.array_compact(F.array(F.when(F.col("entered"), F.lit("ENTRY")), F.when(F.col("left_after"), F.lit("EXIT"))))
     return member_years(membership, index_id, last_year).select("company_id", "year", F.explode(status).alias("status"))
 
 
-def index_churn(membership: DataFrame, companies: DataFrame, index_id: str = "UKX", last_year: int = 2024) -> DataFrame:
+def index_churn(membership: DataFrame, companies: DataFrame, index_id: str = "UKX", last_year: int | Column | None = None) -> DataFrame:
     """Per year and status: how many companies entered or left, and their names."""
     changes = membership_changes(membership, index_id, last_year)
     return (
@@ -139,7 +141,7 @@ def index_churn(membership: DataFrame, companies: DataFrame, index_id: str = "UK
     )
 
 
-def churn_counts(membership: DataFrame, index_id: str = "UKX", last_year: int = 2024) -> DataFrame:
+def churn_counts(membership: DataFrame, index_id: str = "UKX", last_year: int | Column | None = None) -> DataFrame:
     """Entries and exits as two columns for every member year, years without a change included."""
     return (
         member_years(membership, index_id, last_year)

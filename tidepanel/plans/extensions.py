@@ -24,14 +24,16 @@ def hierarchy_rollup(companies: DataFrame) -> DataFrame:
     )
 
 
-def membership_flag_changes(membership: DataFrame, index_id: str, first_year: int, last_year: int) -> DataFrame:
-    """Joined, left and stayed per year from a lagged membership flag on a full company-year spine.
+def membership_flag_changes(membership: DataFrame, index_id: str) -> DataFrame:
+    """Joined, left and stayed per year from a lagged membership flag on a full company-year spine, from the first
+    to the last year that the index has members in.
 
     Years are exploded from a range inside each company row, so no cross join is needed."""
     rows = membership.where(F.col("index_id") == index_id).select("company_id", F.year("as_of_date").alias("year"))
+    first, last = (rows.agg(f("year").alias("year")).scalar() for f in (F.min, F.max))
     years = rows.groupBy("company_id").agg(F.collect_set("year").alias("member_years"))
     spine = years.select(
-        "company_id", "member_years", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("year")
+        "company_id", "member_years", F.explode(F.sequence(first, last)).alias("year")
     ).withColumn("flag", F.array_contains("member_years", F.col("year")).cast("int"))
     win = Window.partitionBy("company_id").orderBy("year")
     moved = spine.withColumn("change", F.col("flag") - F.lag("flag").over(win))
@@ -45,12 +47,13 @@ def membership_flag_changes(membership: DataFrame, index_id: str, first_year: in
     )
 
 
-def churn_size(membership: DataFrame, index_id: str, last_year: int) -> DataFrame:
+def churn_size(membership: DataFrame, index_id: str) -> DataFrame:
     """Mean size (price x shares) of members in their last year against those that stayed."""
     sized = membership.where(F.col("index_id") == index_id).select(
         "company_id", F.year("as_of_date").alias("year"),
         (F.col("price").cast("double") * F.col("shares_outstanding").cast("double")).alias("size"),
     )
+    last_year = membership.where(F.col("index_id") == index_id).agg(F.max(F.year("as_of_date")).alias("year")).scalar()
     gone = concentration.membership_changes(membership, index_id, last_year).where(F.col("status") == "EXIT")
     marked = sized.join(gone, ["company_id", "year"], "left").where(F.col("year") < last_year)
     return (

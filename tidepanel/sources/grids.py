@@ -50,7 +50,7 @@ class MonthLayout:
 
     first_data_row: int = 2
     first_month_col: int = 2
-    anchor: str = "2024-12-01"
+    anchor: str | Column = "2024-12-01"
 
 
 def read_grid(spark: SparkSession, path: str) -> DataFrame:
@@ -162,8 +162,9 @@ def month_grid(cells: DataFrame, country_id: str | Column, layout: MonthLayout =
     values = body.where(F.col("col_no") >= layout.first_month_col).withColumn("indicator_value", cleaning.to_number("value"))
     values = values.where(F.col("indicator_value").isNotNull())
     offset = (F.col("col_no") - layout.first_month_col).cast("int")
+    anchor = layout.anchor if isinstance(layout.anchor, Column) else F.lit(layout.anchor).cast("date")
     rows = values.join(broadcast_bounded(labels, SHEET_ROWS), [*by_row, "row_no"]).select(
-        country.alias("country_id"), F.add_months(F.lit(layout.anchor).cast("date"), -offset).alias("indicator_date"),
+        country.alias("country_id"), F.add_months(anchor, -offset).alias("indicator_date"),
         "indicator_name", "bloomberg_ticker", "indicator_value", cleaning.category("indicator_name").alias("indicator_category"), "row_no",
     )
     first = F.min_by(F.struct("indicator_name", "indicator_value", "indicator_category"), "row_no").alias("f")
@@ -185,15 +186,20 @@ def rate_grid(cells: DataFrame, first_data_row: int = 6) -> DataFrame:
     )
 
 
-def fill_calendar(cells: DataFrame, period_type: str, first_year: int = 2005, last_year: int = 2024, first_data_row: int = 6) -> DataFrame:
+def fill_calendar(
+    cells: DataFrame, period_type: str, first_year: int | Column = 2005, last_year: int | None = 2024, first_data_row: int = 6,
+) -> DataFrame:
     """Replace the first column of the n-th data row by the n-th year or quarter end.
 
-    Rows beyond the last year keep their text; a row without a first cell gets one."""
+    Rows beyond the last year keep their text; without a last year all data rows are dated. A row without a first cell
+    gets one."""
     step = 12 if period_type == "ANNUAL" else 3
-    start = f"{first_year:04d}-{step:02d}-01"
+    start = F.make_date(first_year if isinstance(first_year, Column) else F.lit(first_year), F.lit(step), F.lit(1))
     n = (F.col("row_no") - first_data_row).cast("int")
-    end = F.last_day(F.add_months(F.lit(start).cast("date"), n * step))
-    filled = (F.col("row_no") >= first_data_row) & (F.year(end) <= last_year)
+    end = F.last_day(F.add_months(start, n * step))
+    filled = F.col("row_no") >= first_data_row
+    if last_year is not None:
+        filled = filled & (F.year(end) <= last_year)
     others = cells.where(F.col("col_no") > 0)
     firsts = cells.groupBy("row_no").agg(F.max(F.when(F.col("col_no") == 0, F.col("value"))).alias("old"))
     firsts = firsts.select(

@@ -82,6 +82,24 @@ class Star:
     def table(self, name: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name)
 
+    @_once
+    def last_year(self) -> int:
+        """The year of the last sales line: the latest year of studies that look at one."""
+        return self.table("lineitem").agg(F.year(F.max("l_shipdate"))).first()[0]
+
+    def first_year(self) -> Column:
+        """The year of the first sales line, as a subquery."""
+        return self.table("lineitem").agg(F.year(F.min("l_shipdate")).alias("y")).scalar()
+
+    def first_friday(self) -> Column:
+        """The Friday of the first week with sales, as a subquery."""
+        first = F.date_add(F.trunc(F.min("l_shipdate").cast("date"), "week"), 4)
+        return self.table("lineitem").agg(first.alias("d")).scalar()
+
+    def last_month(self) -> Column:
+        """The first day of the last month with orders, as a subquery."""
+        return self.table("orders").agg(F.trunc(F.max("o_orderdate").cast("date"), "month").alias("d")).scalar()
+
     def _lines(self, years: tuple[int, int] | None = None) -> DataFrame:
         lines = self.table("lineitem")
         if years:

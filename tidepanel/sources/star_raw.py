@@ -13,9 +13,8 @@ from tidepanel import schemas
 from tidepanel.functions.aggregates import scaled
 from tidepanel.sources.star import INDICATORS, REGION_COUNTRY, Star
 
-ANCHOR = "2001-12-01"
-FIRST_WEEK = "1994-12-30"
-FIRST_YEAR = 1995
+#: Sheet row of the first period.
+FIRST_ROW = 6
 
 
 def _by_priority(texts: dict[str, Column], otherwise: Column) -> Column:
@@ -60,6 +59,10 @@ def _date_cells(rows: DataFrame, fmt: str) -> DataFrame:
     return dates.select(*_cell(F.col("row"), 0, F.date_format("date", fmt)))
 
 
+def _week_row(star: Star, friday: Column) -> Column:
+    return F.floor(F.datediff(friday, star.first_friday()) / 7) + FIRST_ROW
+
+
 def price_cells(star: Star) -> DataFrame:
     """Two columns per company; every second company has its return column first."""
     first_col = F.col("company_id") * 2 + 1
@@ -73,7 +76,7 @@ def price_cells(star: Star) -> DataFrame:
         F.struct(*_cell(4, price_col, price_text)),
         F.struct(*_cell(4, return_col, return_text)),
     )).alias("c")).select("c.*")
-    row = F.floor(F.datediff("price_date", F.lit(FIRST_WEEK).cast("date")) / 7) + 6
+    row = _week_row(star, F.col("price_date"))
     sales = star.weekly_sales()
     value = F.col("value").cast("decimal(18,2)")
     # Which cells are missing depends on the company and the day alone, not on the number of lines.
@@ -88,7 +91,7 @@ def price_cells(star: Star) -> DataFrame:
 
 
 def statement_cells(star: Star, period_type: str = "ANNUAL", with_dates: bool = True) -> DataFrame:
-    """Seven columns per company, one row per period from 1995 on."""
+    """Seven columns per company, one row per period from the first year on."""
     codes = list(schemas.FIELD_CODES)
     width = len(codes)
     first_col = F.col("company_id") * width + 1
@@ -99,7 +102,7 @@ def statement_cells(star: Star, period_type: str = "ANNUAL", with_dates: bool =
     )).alias("c")).select("c.*")
     end = F.col("period_end_date")
     per_year = 1 if period_type == "ANNUAL" else 4
-    row = (F.year(end) - FIRST_YEAR) * per_year + (F.quarter(end) - 1 if per_year == 4 else 0) + 6
+    row = (F.year(end) - star.first_year()) * per_year + (F.quarter(end) - 1 if per_year == 4 else 0) + FIRST_ROW
     rows = star.financials(period_type)
     texts = [
         F.coalesce(F.format_number(F.col(m).cast("decimal(28,4)"), 4), F.lit("N/A")) for m in schemas.FIELD_CODES.values()
@@ -119,7 +122,7 @@ def macro_cells(star: Star) -> DataFrame:
     codes = F.create_map(*[F.lit(x) for i, pair in enumerate(INDICATORS.items()) for x in (pair[1], i)])
     rows = star.macro()
     number = F.element_at(codes, F.col("indicator_name")).cast("long") + 2
-    offset = F.months_between(F.lit(ANCHOR).cast("date"), "indicator_date").cast("int")
+    offset = F.months_between(star.last_month(), "indicator_date").cast("int")
     text = F.when(F.col("indicator_name") == INDICATORS["HOUSST"], F.col("indicator_value").cast("long").cast("string")).when(
         F.col("indicator_name") == INDICATORS["GDPNOM"], F.format_number((F.col("indicator_value") * 1000000).cast("decimal(28,2)"), 2)
     ).otherwise(F.format_number(F.round("indicator_value", 6), 6))
@@ -142,7 +145,7 @@ def rate_cells(star: Star) -> DataFrame:
         .groupBy("country_id", "monday")
         .agg(F.sum(scaled("l_tax")).alias("tax"), F.sum(scaled("l_discount")).alias("disc"))
     )
-    row = F.floor(F.datediff(F.date_add("monday", 4), F.lit(FIRST_WEEK).cast("date")) / 7) + 6
+    row = _week_row(star, F.date_add("monday", 4))
     place = F.array_position(F.array(*[F.lit(c) for c in REGION_COUNTRY]), F.col("country_id"))
     text = lambda c: F.when(F.col(c) == 0, F.lit("N/A")).otherwise(F.col(c).cast("string"))
     body = weekly.select(F.explode(F.array(
