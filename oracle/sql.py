@@ -343,6 +343,12 @@ SELECT ticker, ROW_NUMBER() OVER (ORDER BY company_id % 3 = 0, ticker) AS compan
     "incremental_hhi": sql("ukx", _HHI),
     "incremental_churn": sql("ukx changes", _CHURN),
     "incremental_volatility": sql("rollvol", _ROLLING),
+    "clean_odd_texts": """
+SELECT o_orderkey, CASE k WHEN 0 THEN n WHEN 5 THEN n * 100 WHEN 6 THEN -n WHEN 7 THEN n WHEN 8 THEN n WHEN 9 THEN 0.5::DOUBLE END AS number,
+  k IN (1, 2, 10, 11) AS number_rejected,
+  CASE WHEN f IN (0, 1, 2, 4) THEN d WHEN f = 3 AND day(d) <= 12 THEN make_date(year(d), day(d), month(d)) WHEN f = 3 THEN d END AS parsed_date,
+  f IN (5, 7) AS date_rejected
+FROM (SELECT o_orderkey, CAST(o_orderkey AS DOUBLE) AS n, o_orderkey % 12 AS k, o_orderkey % 8 AS f, CAST(o_orderdate AS DATE) AS d FROM orders)""",
     "clean_null_tokens": sql("ordertext", "SELECT o_orderkey, label FROM ordertext"),
     "clean_numeric": sql("orderparsed", "SELECT o_orderkey, number FROM orderparsed"),
     "parse_dates_multi": sql("orderparsed", "SELECT o_orderkey, parsed_date FROM orderparsed"),

@@ -212,6 +212,15 @@ def parse_dates_multi(s):
     return star_raw.order_texts(s).select("o_orderkey", cleaning.to_date("date_text").alias("parsed_date"))
 
 
+@query
+def clean_odd_texts(s):
+    """Numbers and dates from mixed forms, and which texts carry a value that can't be read."""
+    number, date = cleaning.to_number("number_text"), cleaning.to_date("date_text")
+    return star_raw.odd_texts(s).select(
+        "o_orderkey", number.alias("number"), cleaning.is_reject("number_text", number).alias("number_rejected"),
+        date.alias("parsed_date"), cleaning.is_reject("date_text", date).alias("date_rejected"))
+
+
 @query
 def clean_trim(s):
     raw = s.table("customer").select(

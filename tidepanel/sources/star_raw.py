@@ -47,6 +47,19 @@ def order_texts(star: Star) -> DataFrame:
     )
 
 
+def odd_texts(star: Star) -> DataFrame:
+    """Per order: a number and a date in the forms that vendors mix in, some of which aren't numbers or dates."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    plain = key.cast("string")
+    numbers = [F.format_number(key.cast("double"), 2), F.concat(plain, F.lit("f")), F.concat(F.lit("0x"), plain), F.lit("NaN"), F.lit("NULL"),
+               F.concat(plain, F.lit("e2")), F.concat(F.lit("-"), plain), F.concat(F.lit("+"), plain, F.lit(".")), F.concat(F.lit("  "), plain, F.lit(" ")),
+               F.lit(".5"), F.lit("Infinity"), F.concat(plain, F.lit(" 000"))]
+    dates = [F.concat(day.cast("string"), F.lit(" 07:30:00")), F.concat(day.cast("string"), F.lit("T7:30")), F.date_format(day, "M/d/yyyy"),
+             F.date_format(day, "dd/MM/yyyy"), F.date_format(day, "d-M-yyyy"), F.date_format(day, "yyyy-13-dd"), F.lit("  "), F.date_format(day, "yyyy")]
+    pick = lambda texts: F.element_at(F.array(*texts), (key % len(texts) + 1).cast("int"))
+    return star.table("orders").select("o_orderkey", pick(numbers).alias("number_text"), pick(dates).alias("date_text"))
+
+
 def _cell(row: Column | int, col: Column | int, value: Column) -> list[Column]:
     as_long = lambda x: (F.lit(x) if isinstance(x, int) else x).cast("long")
     return [as_long(row).alias("row_no"), as_long(col).alias("col_no"), value.alias("value")]
