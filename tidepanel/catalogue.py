@@ -536,7 +536,7 @@ def having_min_count(s):
 
 @query
 def membership_exits(s):
-    rows = concentration.membership_changes(s.membership(), "UKX")
+    rows = concentration.membership_changes(s.membership(), "UKX", s.last_year())
     return rows.where(F.col("status") == "EXIT")
 
 
@@ -585,7 +585,7 @@ def join_period_align(s):
 
 @query
 def membership_entries(s):
-    rows = concentration.membership_changes(s.membership(), "UKX")
+    rows = concentration.membership_changes(s.membership(), "UKX", s.last_year())
     return rows.where(F.col("status") == "ENTRY")
 
 
@@ -836,7 +836,7 @@ def q_uc1_q2_hhi(s):
 
 @query
 def q_uc1_q3_index_churn(s):
-    return concentration.index_churn(s.membership(), s.companies())
+    return concentration.index_churn(s.membership(), s.companies(), last_year=s.last_year())
 
 
 @query
@@ -913,7 +913,7 @@ def q_v_uc1_q2_export(s):
 
 @query
 def q_v_uc1_q3_pivot(s):
-    return concentration.churn_counts(s.membership())
+    return concentration.churn_counts(s.membership(), last_year=s.last_year())
 
 
 @query
