@@ -27,6 +27,8 @@ WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 ARCHIVE_BYTES = 256 << 20
 #: Records are dealt to reading tasks by spans of an archive, and neighbours are read at once up to this size.
 SPAN_BYTES, READ_BYTES = 32 << 20, 4 << 20
+#: Bytes of archives for each reading task.
+TASK_BYTES = 64 << 20
 
 RECORD = "record_id string, url string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 LOCATION = "path string, record_id string, offset long, length long"
@@ -267,14 +269,22 @@ def locate_records(archives: DataFrame) -> DataFrame:
                 if block:
                     yield pa.RecordBatch.from_pylist([dict(zip(("path", "record_id", "offset", "length"), x)) for x in block])
 
-    return archives.select("path", "bytes").mapInArrow(locate, LOCATION)
+    return archives.select("path", "bytes").repartition(read_tasks(archives), "path").mapInArrow(locate, LOCATION)
 
 
-def read_records(places: DataFrame) -> DataFrame:
-    """Range-read and parse the records of ``locate_records`` (or any part of them).
+def read_tasks(archives: DataFrame) -> int:
+    """Tasks to read the archives with: one for ``TASK_BYTES``, and no fewer than a shuffle of the session has."""
+    size = archives.agg(F.sum("bytes")).first()[0] or 0
+    return max(int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+
+
+def read_records(places: DataFrame, tasks: int) -> DataFrame:
+    """Range-read and parse the records of ``locate_records`` (or any part of them) in so many tasks.
 
     Places are dealt out by spans of an archive, so a large archive is read by many tasks, and neighbouring
-    records are fetched together. Only the places are shuffled.
+    records are fetched together. Only the places are shuffled; as they are small beside what they point at, the
+    number of tasks is given (``read_tasks``) and not left to adaptive execution, which would join them all.
+    A record, however long, is one value in one task; places of no records, or of none left, give no rows.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,4 +316,4 @@ def read_records(places: DataFrame) -> DataFrame:
     schema = pa.schema([("record_id", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()),
                         ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
     span = F.floor(F.col("offset") / SPAN_BYTES)
-    return places.repartition("path", span).sortWithinPartitions("path", "offset").mapInArrow(read, RECORD)
+    return places.repartition(tasks, "path", span).sortWithinPartitions("path", "offset").mapInArrow(read, RECORD)
