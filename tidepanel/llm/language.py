@@ -14,6 +14,8 @@ WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
 #: Labelled documents that the network learns from, at most, and windows of each.
 MAX_DOCUMENTS, WINDOWS_EACH = 2_400, 8
+#: Keys that a slice of a label gives to the sample, at most; below 1,000 Spark limits them before the shuffle.
+SLICE_KEYS = 600
 #: Windows that are convolved at a time.
 BATCH = 256
 
@@ -149,16 +151,19 @@ def fit(docs: DataFrame, key: str, text: str, label: str, max_documents: int = M
 
     The sample takes documents evenly per label by a hash of their key, ``max_documents`` at most, and of each up to
     ``WINDOWS_EACH`` windows spread over its whole text; only those windows reach the driver. Which documents are
-    chosen is decided on keys and labels alone; the chosen keys, a bounded list, then pick the texts. Rows without
+    chosen is decided on keys and labels alone; the chosen keys, a bounded list, then pick the texts. A label's keys
+    are ranked in slices by their hash, each so short that every task sends on no more than a slice may give. Rows without
     label, text or letters teach nothing; of rows with one key and label, one counts.
     """
     from pyspark.sql import Window
 
     rows = docs.select(F.col(f"`{key}`").cast("string").alias("key"), F.col(f"`{text}`").alias("text"),
                        F.col(f"`{label}`").cast("string").alias("label")).where("label IS NOT NULL AND text IS NOT NULL AND key IS NOT NULL")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    chosen = rows.select("key", "label").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max_documents)
-    chosen = chosen.orderBy("rank", "label").limit(max_documents).select("key", "label").distinct()
+    slices = -(-max_documents // SLICE_KEYS)
+    keys = rows.select("key", "label", F.xxhash64("key").alias("hash")).withColumn("slice", F.pmod(F.shiftright("hash", 32), F.lit(slices)))
+    order = Window.partitionBy("label", "slice").orderBy("hash", "key")
+    chosen = keys.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= -(-max_documents // slices))
+    chosen = chosen.orderBy("rank", "label", "slice").limit(max_documents).select("key", "label").distinct()
     data = F.col("text").cast("binary")
     step = F.greatest(F.lit(WINDOW), F.floor(F.octet_length("text") / WINDOWS_EACH)).cast("int")
     starts = F.sequence(F.lit(0), F.least(F.lit(WINDOWS_EACH - 1), F.floor((F.octet_length("text") - 1) / step)).cast("int"))
