@@ -17,6 +17,8 @@ from tidepanel.llm.common import written
 #: Vectors that the trees are fitted on, at most; all vectors are indexed.
 SAMPLE = 16_384
 TREES = 8
+#: Indexed vectors for each task that queues queries, about.
+VISIT_ROWS = 100_000
 #: Vectors of a leaf, about, while the sample has LEAF_SAMPLE of its own for each leaf.
 LEAF_ROWS, LEAF_SAMPLE = 1_000, 16
 #: The recall that the number of visited leaves is set for, measured on the sample.
@@ -207,6 +209,8 @@ def search(items: DataFrame, queries: DataFrame, key: str, vector: str, k: int,
 
     asked = rows(queries).where(F.size("vector") == d).distinct()
     groups = asked.groupBy("vector").agg(F.min("id").alias("query"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / VISIT_ROWS))
+    groups = groups.repartition(tasks, "query")  # a number of its own: small rows, long work, so they must not be joined into few tasks
     stored = classes.select("vector", "ids").mapInArrow(index, "tree int, leaf int, part int, vector array<double>, ids array<long>, leaves array<int>")
     sent = groups.select("vector", "query").mapInArrow(visit, "tree int, leaf int, part int, vector array<double>, query long, least double, visited binary")
     place = ["tree", "leaf", "part"]
