@@ -35,8 +35,10 @@ def test_archives_round_trip_and_revisits(spark):
     records = warc.plan_records(pages, "page_id", "url", F.col("html").cast("binary"))
     archives = written(warc.write_archives(records, new_folder(spark, "t"), archive_bytes=300), "a")
     places = warc.locate_records(archives)
-    back = warc.read_records(places).collect()
+    back = warc.read_records(places, 4).collect()
     assert len(back) == len(rows) == places.count() and archives.count() > 1
+    tasks = warc.read_records(places, warc.read_tasks(archives)).select(F.spark_partition_id()).distinct()
+    assert tasks.count() > 1  # small places aren't joined into one task
     for r in back:
         key = r["record_id"].removeprefix("urn:page:")
         if r["payload_digest"] == hashlib.sha1(long_.encode()).hexdigest():
@@ -76,7 +78,7 @@ def test_an_archive_without_index_is_scanned(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.wacz", "w") as z:
         z.writestr("archive/data.warc.gz", b"".join(parts))
     archives = warc.list_archives(spark, str(tmp_path))
-    back = warc.read_records(warc.locate_records(archives)).collect()
+    back = warc.read_records(warc.locate_records(archives), warc.read_tasks(archives)).collect()
     assert sorted(r["record_id"] for r in back) == [f"urn:page:{i}" for i in range(3)] and {bytes(r["payload"]) for r in back} == {b"abc"}
 
 
@@ -237,6 +239,41 @@ def test_rules_and_odd_urls(spark):
     assert urls.judge(pages.where("false"), "url", queries.RULES, model).count() == 0
 
 
+def test_blocked_urls_look_like_listed_ones(spark):
+    """The registered labels: rows by their hash are held out, and the trees rank them without seeing the list's words."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    labelled = queries.listed_urls(pages).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(2)))
+    for fold in (0, 1):
+        model = urls.fit(labelled.where(F.col("fold") != fold))
+        held = labelled.where(F.col("fold") == fold).collect()
+        score, y = model.score([r["url"] for r in held]), np.array([r["label"] for r in held])
+        ranks = np.argsort(np.argsort(score, kind="stable")) + 1
+        auc = (ranks[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
+        assert y.sum() > 20 and auc > 0.95, auc
+
+
+def test_registered_url_query(spark):
+    rows = queries.op5_urls(spark, "/root/testdata/sf0.1").collect()
+    source = {r["page_id"]: r["url"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()}
+    assert {r["page_id"] for r in rows} == set(source) and len(rows) == len(source)
+    for r in rows:
+        host, path = urls.parts(source[r["page_id"]])
+        fits = [x for x in queries.RULES if (host == x.host or host.endswith("." + x.host)) and path.startswith(x.path)]
+        best = max(fits, key=lambda x: len(x.text), default=None)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, best and best.text)
+        assert r["verdict"] == (best.verdict if best else "block" if r["block_score"] >= 0.5 else "allow")
+    listed = [r for r in rows if r["rule"] is None and any(w in r["host"] for w in queries.LISTED)]
+    assert listed and sum(r["verdict"] == "block" for r in listed) >= 0.9 * len(listed)
+    others = [r for r in rows if r["rule"] is None and not any(w in r["host"] for w in queries.LISTED)]
+    assert sum(r["verdict"] == "block" for r in others) <= 0.02 * len(others)
+
+
+def test_listed_urls_label_odd_rows(spark):
+    rows = [(1, "http://Free-BETS.example/"), (2, "http://alphabets.example/casino"), (3, None), (4, "no scheme casino"), (5, "http://a.example/"), (5, "http://a.example/")]
+    found = sorted((r["url"], r["label"]) for r in queries.listed_urls(frame(spark, rows, "page_id long, url string").withColumn("label", F.lit(9))).collect())
+    assert found == [("http://Free-BETS.example/", 1), ("http://a.example/", 0), ("http://a.example/", 0), ("http://alphabets.example/casino", 0)]
+
+
 def test_trees_learn_lexical_signs(spark):
     rng = random.Random(2)
     make = lambda bad: f"http://{'shop' if bad else 'news'}{rng.randint(1, 9)}.example.{rng.choice(['biz', 'info'] if bad else ['org', 'edu'])}/" + (
