@@ -202,11 +202,54 @@ def test_copies_and_reparameterised_questions(spark):
     items = spark.createDataFrame([(10, item), (11, "Two words"), (12, None), (13, "")], "item_id long, text string")
     found = {(r["id"], r["item_id"]): r["kind"] for r in leaks.leaks(docs, items, "doc_id", "text", "item_id", "text").collect()}
     assert found[(1, 10)] == found[(None, 10)] == found[(6, 10)] == "copy" and found[(2, 10)] == "reparameterised"
+    assert found[(7, 10)] == "copy"  # in capitals
     assert not {(3, 10), (4, 10), (5, 10)} & set(found)
+    shuffled = leaks.leaks(docs, items, "doc_id", "text", "item_id", "text", broadcast_windows=0)
+    assert {(r["id"], r["item_id"]): r["kind"] for r in shuffled.collect()} == found
     assert leaks.leaks(docs.where("false"), items, "doc_id", "text", "item_id", "text").count() == 0
     assert leaks.leaks(docs, items.where("false"), "doc_id", "text", "item_id", "text").count() == 0
 
 
+def test_names_units_number_words_and_case(spark):
+    train = "A train travels 120 km in 2 hours while Anna walks 5 km and then Anna rests for 2 hours before the train returns."
+    apples = "Anna has 3 red apples in a basket. Boris then buys 7 more apples and gives them to Anna. How many apples are there now?"
+    if_ = "If the shop sells 4 pears every morning then how many pears does it sell in 6 mornings of the week?"
+    variants = {
+        1: (10, train.replace("120", "120,000"), "reparameterised"),
+        2: (10, train.replace("Anna", "Boris"), "reparameterised"),
+        3: (10, train.replace("Anna", "Mary Ann"), "reparameterised"),
+        4: (10, train.replace("Anna", "Anna Smith"), "reparameterised"),
+        5: (10, train.upper(), "copy"),
+        6: (10, train.lower(), "copy"),
+        7: (10, train.replace("120 km", "ninety-five kilometres").replace("5 km", "seven kilometres").replace("2 hours", "three hours"), "reparameterised"),
+        8: (11, "Clara has 5 red apples in a basket. David then buys 9 more apples and gives them to Clara. How many apples are there now?", "reparameterised"),
+        9: (11, apples.replace("Anna", "Clara").replace("Boris", "Clara"), "reparameterised"),
+        10: (12, if_, "copy"),
+        11: (12, "Boris said " + if_, "copy"),
+        12: (12, "Boris " + if_, "copy"),
+        13: (12, if_.replace("If", "When") + " I know when.", "copy"),
+        14: (10, train.replace("Anna walks", "Boris walks").replace("Anna rests", "Clara rests"), None),
+        15: (11, (apples + " ") * 30, "copy"),
+        16: (10, "word " * 20000 + train, "copy"),
+        17: (11, apples.replace("3", "two hundred"), "reparameterised"),
+    }
+    docs = frame(spark, [(i, f"Some other words. {t} and more") for i, (_, t, _) in variants.items()])
+    items = spark.createDataFrame([(10, train), (11, apples), (12, if_)], "item_id long, text string")
+    found = {(r["id"], r["item_id"]): r for r in leaks.leaks(docs, items, "doc_id", "text", "item_id", "text").collect()}
+    kinds = {i: (item, found[(i, item)]["kind"] if (i, item) in found else None) for i, (item, _, _) in variants.items()}
+    expected = {i: (item, kind) for i, (item, _, kind) in variants.items()}
+    assert kinds == expected
+    assert set(found) <= {(i, item) for i, (item, _, _) in variants.items()} and found[(13, 12)]["windows"] < found[(10, 12)]["windows"]
+    assert found[(16, 10)]["start"] == 20003 and found[(16, 10)]["tokens"] == len(train.split())
+
+
+def test_a_window_that_an_item_repeats_is_aligned_at_each_place(spark):
+    verse = "row the little boat gently down this stream "
+    items = spark.createDataFrame([(1, verse * 3 + "merrily we sing along")], "item_id long, text string")
+    found = leaks.leaks(frame(spark, [(1, verse + verse + "merrily we sing along"), (2, "merrily we sing along")]), items, "doc_id", "text", "item_id", "text").collect()
+    assert [(r["id"], r["windows"], r["item_windows"], r["start"]) for r in found] == [(1, 12, 12, 0)]
+
+
 def test_leaks_are_the_documents_that_contain_an_item(spark):
     found = {(r["doc_id"], r["item_id"]) for r in queries.op4_decontamination(spark, "/root/testdata/sf0.01").collect()}
     d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet").collect() for t in ("documents", "benchmark"))

@@ -16,106 +16,175 @@ SHARE, ENOUGH = 0.5, 40
 #: Up to so many distinct windows of the benchmark are broadcast to the documents; more are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
-# Units of measure, time and money that follow a number.
+# Units of measure, time and money that follow a number, and words for numbers.
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g gram grams kg lb lbs pound pounds oz ounce ounces ton "
     "tons ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks "
-    "month months year years $ € £ cent cents dollar dollars euro euros percent mph kmh degrees pages points"
+    "month months year years $ € £ cent cents dollar dollars euro euros percent mph kmh degrees pages points "
+    "millimeter millimeters millimetre millimetres centimeter centimeters centimetre centimetres meter meters metre metres "
+    "kilometer kilometers kilometre kilometres milligram milligrams kilogram kilograms kilo kilos tonne tonnes hrs mins secs"
 ).split()
+ONES = "one two three four five six seven eight nine".split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+NUMBERS = ("zero ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen hundred thousand million "
+           "billion dozen").split() + ONES + TENS + [f"{t}-{o}" for t in TENS for o in ONES]
 PUNCTUATION = ".,;:!?\"'`()[]{}<>*&|%$#@~^_=+/\\-…«»“”„‘’¿¡"
 
 
 def tokens(text: Column) -> Column:
-    """Words between white space, without punctuation at their ends: ``core``, and whether a sentence ended in the word."""
+    """Words between white space, without punctuation at their ends: ``core``, and whether punctuation followed (``stop``)."""
     word = F.transform(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda t: F.struct(
-        F.btrim(t, F.lit(PUNCTUATION)).alias("core"), F.right(t, F.lit(1)).isin(".", "!", "?").alias("ends")))
+        F.btrim(t, F.lit(PUNCTUATION)).alias("core"), F.right(t, F.lit(1)).isin(*PUNCTUATION).alias("stop")))
     return F.filter(word, lambda t: t["core"] != "")
 
 
 def template(words: str) -> Column:
-    """The canonical token at each place of a column of ``tokens``.
+    """The canonical token at each place of a column of ``tokens``; empty where a placeholder before goes on.
 
-    ``<num>`` for numbers, ``<num><unit>`` for a number grown together with a unit, ``<unit>`` for a unit behind a
-    number, ``<name>`` for a capitalised word that doesn't begin a sentence, else the word in lower case.
+    ``<num>`` for a number in digits or words, ``<num><unit>`` for a number grown together with a unit, ``<unit>`` for a
+    unit behind a number, ``<name>`` for a capitalised word, else the word in lower case. Names in a row are one,
+    and so are number words behind a number, unless punctuation stands between. A word that begins a sentence is
+    a ``<name>`` as well: that says nothing about case, so ``leaks`` looks at what stood there. Words in capitals
+    throughout are literal.
     """
     digit = lambda c: F.substring(c, 1, 1).between("0", "9")
     number = r"^[0-9]+([.,:/][0-9]+)*(st|nd|rd|th)?$"
     joined = r"^[0-9]+([.,][0-9]+)*(" + "|".join(u for u in UNITS if u.isalpha()) + ")$"
+    counted = lambda c: F.coalesce(digit(c) | F.lower(c).isin(*NUMBERS), F.lit(False))
+
+    def name(core: Column) -> Column:
+        first, second = F.substring(core, 1, 1), F.substring(core, 2, 1)
+        return (first != F.lower(first)) & (second != "") & (second == F.lower(second))
 
     def canonical(t: Column, i: Column) -> Column:
         core, low = t["core"], F.lower(t["core"])
         before = F.get(F.col(words), i - 1)
-        name = (F.substring(core, 1, 1) != F.substring(low, 1, 1)) & (F.char_length(core) > 1) & (F.substring(core, 2, 1) == F.substring(low, 2, 1))
+        goes_on = F.coalesce(~before["stop"], F.lit(False))
         return (F.when(digit(core), F.when(core.rlike(number), "<num>").when(low.rlike(joined), "<num><unit>").otherwise(low))
-                .when(name, F.when(F.coalesce(before["ends"], F.lit(True)), low).otherwise("<name>"))
-                .when(low.isin(*UNITS), F.when(F.coalesce(digit(before["core"]), F.lit(False)), "<unit>").otherwise(low))
+                .when(low.isin(*NUMBERS), F.when(goes_on & counted(before["core"]), "").otherwise("<num>"))
+                .when(name(core), F.when(goes_on & name(before["core"]) & ~counted(before["core"]), "").otherwise("<name>"))
+                .when(low.isin(*UNITS), F.when(counted(before["core"]), "<unit>").otherwise(low))
                 .otherwise(low))
 
     return F.transform(F.col(words), canonical)
 
 
-def windows(plates: str, size: Column, length: int) -> Column:
-    """``place`` (from 0) and ``hash`` of each window of ``length`` tokens."""
-    last = size - length
-    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.struct(i.alias("place"), F.xxhash64(F.slice(F.col(plates), i + 1, F.lit(length))).alias("hash")))
+def plated(df: DataFrame, text: Column, *keep: str) -> DataFrame:
+    """``keep`` and, of the text, ``plates`` (its template), ``n`` (their number) and the hashes of 1, 2 and 4 of them."""
+    pair = lambda h, step: F.transform(F.col(h), lambda x, i: F.xxhash64(x, F.get(F.col(h), i + step)))
+    out = df.select(*keep, tokens(text).alias("words")).select(*keep, F.filter(template("words"), lambda t: t != "").alias("plates"))
+    out = out.withColumn("n", F.size("plates")).withColumn("h1", F.transform("plates", lambda t: F.xxhash64(t)))
+    return out.withColumn("h2", pair("h1", 1)).withColumn("h4", pair("h2", 2))
+
+
+def windows(length: int) -> Column:
+    """``place`` (from 0) and ``hash`` of each window of ``length`` (8 at most) tokens of a row of ``plated``."""
+    parts, at = [], 0
+    for size in (4, 4, 2, 1):
+        if at + size <= length:
+            parts.append((f"h{size}", at))
+            at += size
+    starts = F.slice("h1", 1, F.greatest(F.col("n") - length + 1, F.lit(0)))
+    return F.transform(starts, lambda x, i: F.struct(i.alias("place"), F.xxhash64(
+        F.lit(length), *[F.get(F.col(h), i + a) for h, a in parts]).alias("hash")))
 
 
-def leaks(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, item_text: str) -> DataFrame:
+def detailed(df: DataFrame, text: Column, *keep: str) -> DataFrame:
+    """``keep`` and ``cores`` (all words), ``plates``, ``starts`` (the first word of each) and ``values`` (their words, lower case)."""
+    out = df.select(*keep, tokens(text).alias("words")).withColumn("raw", template("words")).withColumn("cores", F.col("words.core"))
+    every = F.when(F.size("raw") > 0, F.sequence(F.lit(0), F.size("raw") - 1)).otherwise(F.array().cast("array<int>"))
+    out = out.withColumn("starts", F.filter(every, lambda i: F.get("raw", i) != ""))
+    values = F.transform("starts", lambda s, j: F.lower(F.array_join(F.slice(
+        "cores", s + 1, F.coalesce(F.get("starts", j + 1), F.size("cores")) - s), " ")))
+    return out.select(*keep, "cores", F.filter("raw", lambda t: t != "").alias("plates"), "starts", values.alias("values"))
+
+
+def leaks(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, item_text: str,
+          broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """One row per document and benchmark item found in it: ``id, text_key, item_id, windows, item_windows, start,
     tokens, kind``.
 
     An item is found where, in one alignment, half of its distinct windows (or ``ENOUGH``) occur and the placeholders
     correspond: what stands for one number, name or unit of the item is one and the same throughout, though it
-    may be another than the item's. ``kind`` is ``copy`` if they are all equal and ``reparameterised`` otherwise.
-    ``start`` and ``tokens`` say where in the document's tokens. Of several places the one with most windows
-    counts, then the first. Rows without id are found with a null id, ``text_key`` (a hash) then tells texts
-    apart; equal rows give one result. Null and empty texts and items without literal tokens match nothing.
+    may be another than the item's. Another name counts as one only if it isn't also a word in lower case, in the
+    item or in the document: so other words may begin a sentence no more than stand elsewhere. Each item is also
+    looked for with its names as plain words, which finds it in capitals or in lower case throughout.
+
+    ``kind`` is ``copy`` if all placeholders are equal and ``reparameterised`` otherwise. ``start`` and ``tokens`` say
+    where in the document's words. Of several places the one with most windows counts, then the first. Rows
+    without id are found with a null id, ``text_key`` (a hash) then tells texts apart; equal rows give one result.
+    Null and empty texts and items without literal tokens match nothing. A text, however long, is one row: its
+    template and hashes are arrays of one task, about ten times its size. A window that an item repeats
+    is aligned at each of its places.
 
     Only windows of the documents, as hashes, meet the benchmark's; the documents hit are then read once more for
-    the placeholders. Both joins broadcast their small side only after counting it.
+    the placeholders. The first join broadcasts the benchmark's windows only after counting them.
     """
-    bench = items.select(F.col(f"`{item}`").alias("item_id"), tokens(F.col(f"`{item_text}`")).alias("words"))
-    bench = bench.where(F.size("words") > 0).withColumn("plates", template("words")).withColumn("n", F.size("words"))
+    source = items.select(F.col(f"`{item}`").alias("item_id"), F.col(f"`{item_text}`").alias("item_text"))
+    forms = source.withColumn("form", F.lit(0)).unionByName(source.select("item_id", F.lower("item_text").alias("item_text"), F.lit(1).alias("form")))
+    bench = plated(forms, F.col("item_text"), "item_id", "form").where("n > 0")
     lengths = sorted(r[0] for r in bench.where(F.col("n") < TOKENS).select("n").distinct().collect())  # below TOKENS: few
-    short = F.array().cast("array<struct<place:int,hash:bigint>>")
+    own = windows(TOKENS)
     for length in lengths:
-        short = F.when(F.col("n") == length, windows("plates", F.col("n"), length)).otherwise(short)
-    own = F.when(F.col("n") >= TOKENS, windows("plates", F.col("n"), TOKENS)).otherwise(short)
+        own = F.when(F.col("n") == length, windows(length)).otherwise(own)
     literal = lambda w: F.size(F.filter(F.slice("plates", w["place"] + 1, F.lit(TOKENS)), lambda t: ~t.startswith("<")))
-    kept = F.filter(own, lambda w: literal(w) >= F.least(F.lit(LITERAL), F.col("n")))
-    entries = bench.select("item_id", "n", F.explode(kept).alias("w")).groupBy("item_id", F.col("w.hash").alias("hash")).agg(
-        F.min("w.place").alias("item_place"), F.first("n").alias("n"))
-    many = entries.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
+    bench = bench.withColumn("own", F.transform(own, lambda w: F.struct(w["place"], w["hash"], literal(w).alias("literal"))))
+    least = F.least(F.lit(LITERAL), F.greatest(F.array_max(F.transform("own", lambda w: w["literal"])), F.lit(1)))
+    entries = bench.select("item_id", "form", "n", F.explode(F.filter("own", lambda w: w["literal"] >= least)).alias("w")).select(
+        "item_id", "form", "n", F.col("w.place").alias("item_place"), F.col("w.hash").alias("hash")).distinct()
+    many = entries.groupBy("item_id", "form").agg(F.count_distinct("hash").alias("item_windows"))
     known = entries.select("hash").distinct()
-    few = known.count() <= BROADCAST_WINDOWS
+    few = known.count() <= broadcast_windows
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("text"))
-    worded = lambda df: df.withColumn("words", tokens(F.col("text")))
-    plated = worded(rows).select("id", "text_key", template("words").alias("plates")).withColumn("n", F.size("plates"))
-    every = F.concat(*[windows("plates", F.col("n"), length) for length in [*lengths, TOKENS]]) if lengths else windows("plates", F.col("n"), TOKENS)
-    seen = plated.select("id", "text_key", F.explode(every).alias("w")).select("id", "text_key", "w.place", "w.hash")
+    every = F.concat(*[windows(length) for length in [*lengths, TOKENS]]) if lengths else windows(TOKENS)
+    seen = plated(rows, F.col("text"), "id", "text_key").select("id", "text_key", F.explode(every).alias("w")).select("id", "text_key", "w.place", "w.hash")
     hits = seen.join(F.broadcast(known) if few else known, "hash").distinct()
 
     shift = (F.col("place") - F.col("item_place")).alias("shift")
-    runs = hits.join(entries, "hash").groupBy("id", "text_key", "item_id", shift).agg(
-        F.count_distinct("item_place").alias("windows"), F.collect_set("item_place").alias("places"))
-    runs = runs.join(many, "item_id").where(F.col("windows") >= F.least(F.ceil(F.col("item_windows") * SHARE), F.lit(ENOUGH)))
+    runs = hits.join(entries, "hash").groupBy("id", "text_key", "item_id", "form", "n", shift).agg(
+        F.collect_set(F.struct("item_place", "hash")).alias("met"))
+    counted = F.size(F.array_distinct(F.transform("met", lambda m: m["hash"])))
+    enough = F.col("windows") >= F.least(F.ceil(F.col("item_windows") * SHARE), F.lit(ENOUGH))
+    runs = runs.withColumn("windows", counted).join(many, ["item_id", "form"]).where(enough)
 
     wanted = runs.select(F.col("id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    found = worded(rows.join(wanted, same, "left_semi")).select("id", "text_key", F.col("words.core").alias("cores")).distinct()
+    found = detailed(rows.join(wanted, same, "left_semi").distinct(), F.col("text"), "id", "text_key")
     a, b = runs.alias("a"), found.alias("b")
-    both = a.join(b, F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.text_key") == F.col("b.text_key"))).select("a.*", "b.cores")
-    both = both.join(bench.select("item_id", "plates", "n", F.col("words.core").alias("item_cores")), "item_id")
-    covered = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.least(F.lit(TOKENS), F.col("n")) - 1))))
-    slots = F.transform(F.filter(covered, lambda p: F.get("plates", p).startswith("<")), lambda p: F.struct(
-        F.lower(F.get("item_cores", p)).alias("item"), F.lower(F.get("cores", p + F.col("shift"))).alias("doc")))
-    both = both.withColumn("covered", covered).withColumn("slots", F.array_distinct(slots))
-    agreed = F.size(F.array_distinct(F.transform("slots", lambda s: s["item"]))) == F.size("slots")
-    both = both.where(agreed).select(
-        "id", "text_key", "item_id", "windows", "item_windows", (F.array_min("covered") + F.col("shift")).alias("start"),
-        F.size("covered").alias("tokens"),
+    both = a.join(b, F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.text_key") == F.col("b.text_key"))).select(
+        "a.*", "b.cores", F.col("b.plates").alias("doc_plates"), "b.starts", "b.values")
+    asked = detailed(forms, F.col("item_text"), "item_id", "form").select(
+        "item_id", "form", "plates", F.col("cores").alias("item_cores"), F.col("values").alias("item_values"))
+    both = both.join(asked, ["item_id", "form"])
+    wide = F.least(F.lit(TOKENS), F.col("n"))
+    covered = F.array_sort(F.array_distinct(F.flatten(F.transform("met", lambda m: F.sequence(m["item_place"], m["item_place"] + wide - 1)))))
+    stands = lambda p: F.get("values", p + F.col("shift"))
+    differs = lambda p: F.get("item_values", p) != stands(p)
+    # A plain word in the place of a name, as where a sentence begins with another word: windows that hold it don't count.
+    word = lambda p: F.array_contains("item_cores", F.get("item_values", p)) | F.array_contains("cores", stands(p))
+    both = both.withColumn("covered", covered)
+    both = both.withColumn("words", F.filter("covered", lambda p: (F.get("plates", p) == "<name>") & differs(p) & word(p)))
+    both = both.withColumn("met", F.when(F.size("words") == 0, F.col("met")).otherwise(F.filter("met", lambda m: ~F.exists(
+        "words", lambda p: p.between(m["item_place"], m["item_place"] + wide - 1)))))
+    both = both.withColumn("windows", counted).where(enough & (F.size("met") > 0)).withColumn("covered", covered)
+
+    def slot(p: Column) -> Column:
+        asked_value, value = F.get("item_values", p), stands(p)
+        # Names beside the passage run on into its first or last one.
+        first = (p == 0) & F.endswith(value, F.concat(F.lit(" "), asked_value))
+        last = (p == F.col("n") - 1) & F.startswith(value, F.concat(asked_value, F.lit(" ")))
+        return F.struct(F.get("plates", p).alias("type"), asked_value.alias("item"), F.when(first | last, asked_value).otherwise(value).alias("doc"))
+
+    slots = F.array_distinct(F.transform(F.filter("covered", lambda p: F.get("plates", p).startswith("<")), slot))
+    both = both.withColumn("slots", slots)
+    one = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["item"])))) == F.size("slots")
+    plain = (F.col("form") == 0) | ~F.exists(F.sequence(F.lit(0), F.col("n") - 1), lambda p: (
+        F.get("doc_plates", p + F.col("shift")) == "<name>") & F.coalesce(differs(p), F.lit(False)))
+    begins = lambda p: F.coalesce(F.get("starts", p), F.size("cores"))
+    both = both.where(one & plain).select(
+        "id", "text_key", "item_id", "form", "windows", "item_windows", begins(F.array_min("covered") + F.col("shift")).alias("start"),
+        F.aggregate("covered", F.lit(0), lambda s, p: s + begins(p + F.col("shift") + 1) - begins(p + F.col("shift"))).alias("tokens"),
         F.when(F.forall("slots", lambda s: s["item"] == s["doc"]), "copy").otherwise("reparameterised").alias("kind"))
-    best = Window.partitionBy("id", "text_key", "item_id").orderBy(F.desc("windows"), "start")
-    return both.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
+    best = Window.partitionBy("id", "text_key", "item_id").orderBy("form", F.desc("windows"), "start")
+    return both.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n", "form")
