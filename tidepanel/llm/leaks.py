@@ -32,9 +32,9 @@ PUNCTUATION = ".,;:!?\"'`()[]{}<>*&|%$#@~^_=+/\\-…«»“”„‘’¿¡"
 
 
 def tokens(text: Column) -> Column:
-    """Words between white space, without punctuation at their ends: ``core``, and whether punctuation followed (``stop``)."""
+    """Words between white space: ``raw``, and as ``core`` without punctuation at their ends."""
     word = F.transform(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda t: F.struct(
-        F.btrim(t, F.lit(PUNCTUATION)).alias("core"), F.right(t, F.lit(1)).isin(*PUNCTUATION).alias("stop")))
+        t.alias("raw"), F.btrim(t, F.lit(PUNCTUATION)).alias("core")))
     return F.filter(word, lambda t: t["core"] != "")
 
 
@@ -47,7 +47,7 @@ def template(words: str) -> Column:
     a ``<name>`` as well: that says nothing about case, so ``leaks`` looks at what stood there. Words in capitals
     throughout are literal.
     """
-    digit = lambda c: F.substring(c, 1, 1).between("0", "9")
+    digit = lambda c: (c >= "0") & (c < ":")  # noqa: E731  (begins with a digit)
     number = r"^[0-9]+([.,:/][0-9]+)*(st|nd|rd|th)?$"
     joined = r"^[0-9]+([.,][0-9]+)*(" + "|".join(u for u in UNITS if u.isalpha()) + ")$"
     counted = lambda c: F.coalesce(digit(c) | F.lower(c).isin(*NUMBERS), F.lit(False))
@@ -59,34 +59,32 @@ def template(words: str) -> Column:
     def canonical(t: Column, i: Column) -> Column:
         core, low = t["core"], F.lower(t["core"])
         before = F.get(F.col(words), i - 1)
-        goes_on = F.coalesce(~before["stop"], F.lit(False))
+        goes_on = F.coalesce(F.endswith(before["raw"], before["core"]), F.lit(False))  # no punctuation between
+        # Most words are neither: one look into one list.
         return (F.when(digit(core), F.when(core.rlike(number), "<num>").when(low.rlike(joined), "<num><unit>").otherwise(low))
-                .when(low.isin(*NUMBERS), F.when(goes_on & counted(before["core"]), "").otherwise("<num>"))
+                .when(low.isin(*NUMBERS, *UNITS), F.when(low.isin(*NUMBERS), F.when(goes_on & counted(before["core"]), "").otherwise("<num>"))
+                      .when(name(core), F.when(goes_on & name(before["core"]) & ~counted(before["core"]), "").otherwise("<name>"))
+                      .otherwise(F.when(counted(before["core"]), "<unit>").otherwise(low)))
+                .when(core == low, core)
                 .when(name(core), F.when(goes_on & name(before["core"]) & ~counted(before["core"]), "").otherwise("<name>"))
-                .when(low.isin(*UNITS), F.when(counted(before["core"]), "<unit>").otherwise(low))
                 .otherwise(low))
 
     return F.transform(F.col(words), canonical)
 
 
 def plated(df: DataFrame, text: Column, *keep: str) -> DataFrame:
-    """``keep`` and, of the text, ``plates`` (its template), ``n`` (their number) and the hashes of 1, 2 and 4 of them."""
-    pair = lambda h, step: F.transform(F.col(h), lambda x, i: F.xxhash64(x, F.get(F.col(h), i + step)))
+    """``keep`` and, of the text, ``plates`` (its template), ``n`` (their number) and ``pairs``, hashes of each and the next."""
     out = df.select(*keep, tokens(text).alias("words")).select(*keep, F.filter(template("words"), lambda t: t != "").alias("plates"))
-    out = out.withColumn("n", F.size("plates")).withColumn("h1", F.transform("plates", lambda t: F.xxhash64(t)))
-    return out.withColumn("h2", pair("h1", 1)).withColumn("h4", pair("h2", 2))
+    pairs = F.transform("plates", lambda t, i: F.xxhash64(t, F.get("plates", i + 1)))
+    return out.withColumn("n", F.size("plates")).withColumn("pairs", pairs)
 
 
 def windows(length: int) -> Column:
-    """``place`` (from 0) and ``hash`` of each window of ``length`` (8 at most) tokens of a row of ``plated``."""
-    parts, at = [], 0
-    for size in (4, 4, 2, 1):
-        if at + size <= length:
-            parts.append((f"h{size}", at))
-            at += size
-    starts = F.slice("h1", 1, F.greatest(F.col("n") - length + 1, F.lit(0)))
+    """``place`` (from 0) and ``hash`` of each window of ``length`` tokens of a row of ``plated``, from its pairs."""
+    starts = F.slice("pairs", 1, F.greatest(F.col("n") - length + 1, F.lit(0)))
+    odd = [length - 1] if length % 2 else []
     return F.transform(starts, lambda x, i: F.struct(i.alias("place"), F.xxhash64(
-        F.lit(length), *[F.get(F.col(h), i + a) for h, a in parts]).alias("hash")))
+        F.lit(length), *[x if a == 0 else F.get("pairs", i + a) for a in range(0, length - 1, 2)], *[F.get("plates", i + a) for a in odd]).alias("hash")))
 
 
 def detailed(df: DataFrame, text: Column, *keep: str) -> DataFrame:
