@@ -250,6 +250,26 @@ def test_a_window_that_an_item_repeats_is_aligned_at_each_place(spark):
     assert [(r["id"], r["windows"], r["item_windows"], r["start"]) for r in found] == [(1, 12, 12, 0)]
 
 
+def test_no_plan_of_the_leaks_holds_the_templates_of_another(spark, monkeypatch):
+    folder, plans = "/root/testdata/sf0.001", []
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(leaks, "written", lambda df, name: plans.append(plan(df)) or written(df, name), raising=False)
+    plans.append(plan(queries.op4_decontamination(spark, folder)))
+    assert max(p.count("split(") for p in plans) <= 3  # the documents', the items' and the items' in lower case
+    assert max(map(len, plans)) < 100_000
+
+
+def test_hits_without_id_with_id_0_and_twice_are_told_apart(spark):
+    item = "A train travels 120 km in 2 hours while Anna walks 5 km and then Anna rests for 2 hours before the train returns."
+    other = item.replace("Anna", "Boris")
+    docs = frame(spark, [(0, item), (None, item), (None, other), (None, item), (0, other), (0, item), (None, None)])
+    items = spark.createDataFrame([(1, item), (None, item), (1, item)], "item_id long, text string")
+    found = leaks.leaks(docs, items, "doc_id", "text", "item_id", "text").collect()
+    rows = [(r["id"], r["text_key"], r["item_id"], r["kind"]) for r in found]
+    assert len(rows) == len(set(rows)) == 4 and {r["item_id"] for r in found} == {1}
+    assert sorted((str(r["id"]), r["kind"]) for r in found) == [("0", "copy"), ("0", "reparameterised"), ("None", "copy"), ("None", "reparameterised")]
+
+
 def test_leaks_are_the_documents_that_contain_an_item(spark):
     found = {(r["doc_id"], r["item_id"]) for r in queries.op4_decontamination(spark, "/root/testdata/sf0.01").collect()}
     d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet").collect() for t in ("documents", "benchmark"))

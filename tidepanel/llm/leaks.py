@@ -7,6 +7,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepanel.llm.common import written
+from tidepanel.llm.neardup import only
+
 #: Tokens of a window; an item with fewer tokens is one window.
 TOKENS = 8
 #: Tokens of a window that must be literal, lest templates of placeholders alone meet.
@@ -116,11 +119,13 @@ def leaks(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, ite
     is aligned at each of its places.
 
     Only windows of the documents, as hashes, meet the benchmark's; the documents hit are then read once more for
-    the placeholders. The first join broadcasts the benchmark's windows only after counting them.
+    the placeholders. The first join broadcasts the benchmark's windows only after counting them. The benchmark's
+    templates and windows and the alignments found are written to the shared folder: several plans read each, and
+    none holds another's expressions as well, whose size the driver's memory follows.
     """
     source = items.select(F.col(f"`{item}`").alias("item_id"), F.col(f"`{item_text}`").alias("item_text"))
     forms = source.withColumn("form", F.lit(0)).unionByName(source.select("item_id", F.lower("item_text").alias("item_text"), F.lit(1).alias("form")))
-    bench = plated(forms, F.col("item_text"), "item_id", "form").where("n > 0")
+    bench = written(plated(forms, F.col("item_text"), "item_id", "form"), "items").where("n > 0")
     lengths = sorted(r[0] for r in bench.where(F.col("n") < TOKENS).select("n").distinct().collect())  # below TOKENS: few
     own = windows(TOKENS)
     for length in lengths:
@@ -130,13 +135,16 @@ def leaks(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, ite
     least = F.least(F.lit(LITERAL), F.greatest(F.array_max(F.transform("own", lambda w: w["literal"])), F.lit(1)))
     entries = bench.select("item_id", "form", "n", F.explode(F.filter("own", lambda w: w["literal"] >= least)).alias("w")).select(
         "item_id", "form", "n", F.col("w.place").alias("item_place"), F.col("w.hash").alias("hash")).distinct()
+    entries = written(entries, "entries")
     many = entries.groupBy("item_id", "form").agg(F.count_distinct("hash").alias("item_windows"))
     known = entries.select("hash").distinct()
     few = known.count() <= broadcast_windows
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("text"))
     every = F.concat(*[windows(length) for length in [*lengths, TOKENS]]) if lengths else windows(TOKENS)
-    seen = plated(rows, F.col("text"), "id", "text_key").select("id", "text_key", F.explode(every).alias("w")).select("id", "text_key", "w.place", "w.hash")
+    # Outer, since Spark puts a filter of its own before a plain one: every text's template and hashes once more.
+    seen = plated(rows, F.col("text"), "id", "text_key").select("id", "text_key", F.explode_outer(every).alias("w")).where("w IS NOT NULL").select(
+        "id", "text_key", "w.place", "w.hash")
     hits = seen.join(F.broadcast(known) if few else known, "hash").distinct()
 
     shift = (F.col("place") - F.col("item_place")).alias("shift")
@@ -144,14 +152,13 @@ def leaks(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, ite
         F.collect_set(F.struct("item_place", "hash")).alias("met"))
     counted = F.size(F.array_distinct(F.transform("met", lambda m: m["hash"])))
     enough = F.col("windows") >= F.least(F.ceil(F.col("item_windows") * SHARE), F.lit(ENOUGH))
-    runs = runs.withColumn("windows", counted).join(many, ["item_id", "form"]).where(enough)
-
-    wanted = runs.select(F.col("id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    found = detailed(rows.join(wanted, same, "left_semi").distinct(), F.col("text"), "id", "text_key")
-    a, b = runs.alias("a"), found.alias("b")
-    both = a.join(b, F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.text_key") == F.col("b.text_key"))).select(
-        "a.*", "b.cores", F.col("b.plates").alias("doc_plates"), "b.starts", "b.values")
+    runs = written(runs.withColumn("windows", counted).join(many, ["item_id", "form"]).where(enough), "runs")
+
+    # By columns without nulls: the texts stay where they were dealt to, no shuffle carries their words.
+    at = [F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0)).alias("number"), F.col("text_key").alias("hash")]
+    texts = only(rows, runs.select("id", "text_key").distinct(), "id", "text_key").select("text", *at)
+    found = detailed(texts.dropDuplicates(["none", "number", "hash"]), F.col("text"), "none", "number", "hash")
+    both = runs.select("*", *at).join(found.withColumnRenamed("plates", "doc_plates"), ["none", "number", "hash"]).drop("none", "number", "hash")
     asked = detailed(forms, F.col("item_text"), "item_id", "form").select(
         "item_id", "form", "plates", F.col("cores").alias("item_cores"), F.col("values").alias("item_values"))
     both = both.join(asked, ["item_id", "form"])
